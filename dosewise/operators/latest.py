@@ -8,16 +8,20 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
-def latest_per_key(df: DataFrame, keys: Sequence[str], by: str) -> DataFrame:
-    """All rows that carry the greatest ``by`` of their key; ties stay, copies stay.
+def newest_per_key(df: DataFrame, keys: Sequence[str], by: str) -> DataFrame:
+    """The greatest ``by`` of each key, combined before the shuffle: a key with a third
+    of the rows sends one row per task."""
+    return df.groupBy(*keys).agg(F.max(by).alias(by))
 
-    The maximum is combined before the shuffle, so a key with a third of the rows
-    sends one row per task. The way back joins on key *and* date, which spreads such
-    a key over its dates, and adaptive execution broadcasts the maxima if they turn
-    out small or splits a date that is still too full. A rank over the key would
-    sort every tie of a hot key in one task.
+
+def rows_at(df: DataFrame, newest: DataFrame, keys: Sequence[str], by: str) -> DataFrame:
+    """All rows of ``df`` that carry the ``by`` listed for their key; ties and copies stay.
+
+    ``newest`` has one row per key and may bring more columns along. The join is on key
+    *and* date, which spreads a hot key over its dates; adaptive execution broadcasts
+    ``newest`` if it turns out small, or splits a date that is still too full. A rank
+    over the key would sort every tie of a hot key in one task.
     """
-    newest = df.groupBy(*keys).agg(F.max(by).alias(by))
     return df.join(newest, [*keys, by])
 
 

@@ -115,12 +115,14 @@ def attribute_symptoms(t: Tables, ordered: bool = True) -> DataFrame:
     the patient had a dose at: ``patient, hospital, symptom, symptom_date, vacc_date,
     vaccine_type``.
 
-    The join only brings in hospitals with an earlier dose, so it makes exactly the
-    rows of the result; the dose itself is found by one ordered pass per patient and
+    The join only brings in hospitals with an earlier dose, so it makes no more rows
+    than the result has; the dose itself is found by one ordered pass per patient and
     hospital. Reports are distinct by then, which bounds a patient by symptoms x days.
+    The join leaves the reports partitioned by patient; with the doses laid out alike,
+    that pass needs no shuffle of its own.
     """
-    doses = dose_products(t).withColumnRenamed("date", "vacc_date")
-    first = doses.groupBy("patient", "hospital").agg(F.min("vacc_date").alias("first_date"))
+    doses = dose_products(t).withColumnRenamed("date", "vacc_date").repartition("patient")
+    first = t["vaccine_patient"].groupBy("patient", "hospital").agg(F.min("date").alias("first_date"))
     reports = (
         t["diagnosis"].select("patient", "symptom", F.col("date").alias("symptom_date")).distinct()
     )

@@ -18,6 +18,14 @@ def event_products(t: Tables) -> DataFrame:
     return t["vaccination_event"].join(batch, "batch")
 
 
+def event_courses(t: Tables) -> DataFrame:
+    """Each clinic event with its product's name and the doses a full course takes."""
+    product = t["vaccine_type"].select(
+        F.col("id").alias("vaccine_type"), F.col("name").alias("product"), "doses"
+    )
+    return event_products(t).join(product, "vaccine_type")
+
+
 def dose_products(t: Tables) -> DataFrame:
     """Each dose with the product given: ``patient, date, hospital, vaccine_type``.
 

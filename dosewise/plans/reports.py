@@ -15,9 +15,9 @@ from pyspark.sql import functions as F
 
 from dosewise.functions.dates import weekday_name
 from dosewise.functions.rates import exact_ratio
-from dosewise.operators.latest import latest_per_key
+from dosewise.operators.latest import newest_per_key, rows_at
 from dosewise.operators.reshape import conditional_sums, repeat_rows
-from dosewise.plans.facts import dose_products, event_products
+from dosewise.plans.facts import event_courses, event_products
 from dosewise.sources.tables import Tables
 
 
@@ -62,28 +62,29 @@ def staff_by_shift_and_area(
     return found.select("ssn", "name", "phone", "role", "vacc_status", "hospital")
 
 
-def _last_legs(t: Tables) -> DataFrame:
-    legs = t["transport_log"].select("batch", "dep_hos", "arr_hos", "dep_date")
-    return latest_per_key(legs, ["batch"], "dep_date")
-
-
 def batch_location(t: Tables) -> DataFrame:
     """Where each batch left from and arrived on its last leg, by departure; ties stay."""
-    return _last_legs(t).select(
+    legs = t["transport_log"].select("batch", "dep_hos", "arr_hos", "dep_date")
+    newest = newest_per_key(legs, ["batch"], "dep_date")
+    return rows_at(legs, newest, ["batch"], "dep_date").select(
         "batch", F.col("dep_hos").alias("last_location"), F.col("arr_hos").alias("current_location")
     )
 
 
 def misplaced_batches(t: Tables) -> DataFrame:
     """Batches whose last leg ended elsewhere than their hospital, with the phone of the
-    hospital that should hold them."""
+    hospital that should hold them.
+
+    Home and phone are looked up once per batch, so the log is shuffled once.
+    """
+    legs = t["transport_log"].select("batch", "arr_hos", "dep_date")
     home = t["batch"].select(F.col("id").alias("batch"), F.col("hospital").alias("correct_location"))
     contact = t["hospital"].select(F.col("name").alias("correct_location"), "phone")
+    newest = newest_per_key(legs, ["batch"], "dep_date")
+    due = newest.join(home, "batch").join(contact, "correct_location")
     return (
-        _last_legs(t)
-        .join(home, "batch")
+        rows_at(legs, due, ["batch"], "dep_date")
         .where(F.col("arr_hos") != F.col("correct_location"))
-        .join(contact, "correct_location")
         .select("batch", F.col("arr_hos").alias("log_location"), "correct_location", "phone")
     )
 
@@ -138,11 +139,7 @@ def patient_status(t: Tables, ordered: bool = True) -> DataFrame:
     Complete means at least as many doses as the least demanding product received
     asks for. Every dose counts, also one without a matching event.
     """
-    course = (
-        event_products(t)
-        .join(t["vaccine_type"].select(F.col("id").alias("vaccine_type"), "doses"), "vaccine_type", "left")
-        .select("date", "hospital", "doses")
-    )
+    course = event_courses(t).select("date", "hospital", "doses")
     taken = (
         t["vaccine_patient"]
         .join(course, ["date", "hospital"], "left")
@@ -188,17 +185,20 @@ def symptom_frequency(t: Tables) -> DataFrame:
     per patient and product or symptom before they meet, the pairs are unique as they
     are, and neither distinct count needs a shuffle of its own.
     """
-    names = t["vaccine_type"].select(F.col("id").alias("vaccine_type"), F.col("name").alias("product"))
+    given = event_courses(t).select("date", "hospital", "product")
     first_dose = (
-        dose_products(t)
-        .join(names, "vaccine_type")
+        t["vaccine_patient"]
+        .where(F.col("patient").isNotNull())
+        .join(given, ["date", "hospital"])
         .groupBy("patient", F.col("product").alias("name"))
         .agg(F.min("date").alias("first_dose"))
     )
     last_report = (
         t["diagnosis"].groupBy("patient", "symptom").agg(F.max("date").alias("last_report"))
     )
-    recipients = first_dose.groupBy("name").agg(F.count("*").alias("n_recipients"))
+    # Counting the date, not the row, keeps both uses of first_dose alike, so that Spark
+    # runs it once and reuses its exchange.
+    recipients = first_dose.groupBy("name").agg(F.count("first_dose").alias("n_recipients"))
     reporters = (
         first_dose.join(last_report, "patient")
         .where(F.col("first_dose") <= F.col("last_report"))

@@ -9,17 +9,24 @@ from pyspark.sql import SparkSession
 
 # Adaptive execution does three things the jobs count on at scale: it demotes a
 # join to broadcast only after it has seen the shuffled size of the small side,
-# splits a hot join key over several tasks, and merges small partitions.
-# Shuffle partitions start high and are merged down, so one value serves both a
-# laptop sample and a 100 TB load.
+# splits a hot join key over several tasks, and merges small partitions. Shuffle
+# partitions can only be merged at run time, never added, so a cluster starts with
+# enough of them for a shuffle of several TB.
 DEFAULTS = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.advisoryPartitionSizeInBytes": "128m",
-    "spark.sql.shuffle.partitions": "4000",
     "spark.sql.session.timeZone": "UTC",
 }
+CLUSTER = {
+    "spark.sql.shuffle.partitions": "20000",
+    "spark.sql.files.maxPartitionBytes": "512m",
+    # Lost executors take shuffle files along; allow for more than the usual retries.
+    "spark.task.maxFailures": "8",
+    "spark.stage.maxConsecutiveAttempts": "10",
+}
+LOCAL = {"spark.sql.shuffle.partitions": "8", "spark.ui.enabled": "false"}
 
 
 def build_session(
@@ -31,15 +38,15 @@ def build_session(
     for dots).
     """
     given = {key.replace("_", "."): value for key, value in overrides.items()}
-    cluster = SparkConf()
+    configured = SparkConf()
+    target = master or configured.get("spark.master", "")
+    defaults = {**DEFAULTS, **(LOCAL if target.startswith("local") else CLUSTER)}
     builder = SparkSession.builder.appName(app_name)
     if master is not None:
         builder = builder.master(master)
-    for key, value in DEFAULTS.items():
-        if key not in given and not cluster.contains(key):
+    for key, value in {**defaults, **given}.items():
+        if key in given or not configured.contains(key):
             builder = builder.config(key, value)
-    for key, value in given.items():
-        builder = builder.config(key, value)
     return builder.getOrCreate()
 
 

@@ -7,6 +7,7 @@ volume and spread without data of the domain. Ids stay numbers.
 from __future__ import annotations
 
 from datetime import date as Date
+from functools import partial
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -15,6 +16,21 @@ from dosewise.functions.dates import WEEKDAYS
 from dosewise.sources.contracts import CONTRACTS
 from dosewise.sources.tables import Tables
 
+# Columns of the source tables. A given schema spares a job per table
+# that would only open files to infer it.
+SOURCE_SCHEMAS = {
+    "region": "r_regionkey int, r_name string",
+    "nation": "n_nationkey int, n_name string, n_regionkey int",
+    "customer": "c_custkey bigint, c_name string, c_nationkey int, c_acctbal double, c_mktsegment string",
+    "supplier": "s_suppkey bigint, s_name string, s_nationkey int, s_acctbal double",
+    "part": "p_partkey bigint, p_name string, p_brand string, p_type string, p_size int, p_retailprice double",
+    "orders": "o_orderkey bigint, o_custkey bigint, o_orderstatus string, o_totalprice double, "
+    "o_orderdate timestamp_ntz, o_orderpriority string",
+    "lineitem": "l_orderkey bigint, l_partkey bigint, l_suppkey bigint, l_linenumber int, l_quantity double, "
+    "l_extendedprice double, l_discount double, l_tax double, l_returnflag string, l_linestatus string, "
+    "l_shipdate timestamp_ntz",
+}
+
 
 def _day(start: Date, offset: Column) -> Column:
     return F.date_add(F.lit(start), offset.cast("int"))
@@ -28,124 +44,136 @@ def _type_id(number: Column) -> Column:
     return _prefixed("V0", number + 1)
 
 
-def sample_tables(spark: SparkSession, sf_dir: str) -> Tables:
-    def source(name: str) -> DataFrame:
-        return spark.read.parquet(f"{sf_dir}/{name}.parquet")
-
-    c = F.col
-    region, nation, part = source("region"), source("nation"), source("part")
-    customer, orders, lineitem = source("customer"), source("orders"), source("lineitem")
-
-    vaccine_type = region.select(
-        _type_id(c("r_regionkey")).alias("id"),
-        c("r_name").alias("name"),
-        (c("r_regionkey") % 3 + 1).alias("doses"),
-        ((c("r_regionkey") + 1) * -10).alias("temp_min"),
-        (8 - c("r_regionkey")).alias("temp_max"),
-    )
-    manufacturer = nation.join(region, c("n_regionkey") == c("r_regionkey")).select(
-        c("n_name").alias("id"),
-        c("r_name").alias("origin"),
-        _prefixed("tel-", c("n_nationkey")).alias("phone"),
-        _type_id(c("r_regionkey")).alias("vaccine_type"),
-    )
-    hospital = (
-        source("supplier")
-        .where("s_suppkey < 10")
-        .join(nation, c("s_nationkey") == c("n_nationkey"))
-        .select(
-            c("s_suppkey").alias("name"),
-            c("n_name").alias("address"),
-            _prefixed("tel-", c("s_suppkey")).alias("phone"),
+class _Sample:
+    """One method per table, named like it."""
+
+    def __init__(self, spark: SparkSession, sf_dir: str):
+        self.spark, self.sf_dir = spark, sf_dir
+        self.tables = Tables({name: partial(getattr(self, name)) for name in CONTRACTS})
+
+    def source(self, name: str) -> DataFrame:
+        return self.spark.read.schema(SOURCE_SCHEMAS[name]).parquet(f"{self.sf_dir}/{name}.parquet")
+
+    def vaccine_type(self) -> DataFrame:
+        number = F.col("r_regionkey")
+        return self.source("region").select(
+            _type_id(number).alias("id"),
+            F.col("r_name").alias("name"),
+            (number % 3 + 1).alias("doses"),
+            ((number + 1) * -10).alias("temp_min"),
+            (8 - number).alias("temp_max"),
         )
-    )
-    batch = part.select(
-        c("p_partkey").alias("id"),
-        (c("p_size") + 10).alias("num_of_vacc"),
-        _type_id(c("p_partkey") % 5).alias("vaccine_type"),
-        _prefixed("NATION_", c("p_partkey") % 25).alias("manufacturer"),
-        _day(Date(1994, 1, 1), c("p_partkey") % 365).alias("prod_date"),
-        _day(Date(2002, 1, 1), c("p_partkey") % 365).alias("exp_date"),
-        (c("p_partkey") % 10).alias("hospital"),
-    )
-    shipped = c("l_shipdate").cast("timestamp_ntz")
-    transport_log = lineitem.select(
-        c("l_partkey").alias("batch"),
-        ((c("l_suppkey") + 1) % 10).alias("dep_hos"),
-        (c("l_suppkey") % 10).alias("arr_hos"),
-        shipped.alias("dep_date"),
-        (shipped + F.expr("interval 1 day")).alias("arr_date"),
-    )
-    patient = customer.select(
-        c("c_custkey").alias("ssn"),
-        c("c_name").alias("name"),
-        _day(Date(1930, 1, 1), c("c_custkey") * 7919 % 33238).alias("birthday"),
-        F.when(c("c_custkey") % 2 == 0, "F").otherwise("M").alias("gender"),
-    )
-    vaccine_patient = (
-        orders.where("o_orderpriority = '1-URGENT' and o_orderstatus = 'F'")
-        .groupBy(
-            c("o_custkey").alias("patient"),
-            F.date_add(
-                F.trunc("o_orderdate", "month"), (c("o_orderkey") % 5).cast("int")
-            ).alias("date"),
+
+    def manufacturer(self) -> DataFrame:
+        nation, region = self.source("nation"), self.source("region")
+        return nation.join(region, F.col("n_regionkey") == F.col("r_regionkey")).select(
+            F.col("n_name").alias("id"),
+            F.col("r_name").alias("origin"),
+            _prefixed("tel-", F.col("n_nationkey")).alias("phone"),
+            _type_id(F.col("r_regionkey")).alias("vaccine_type"),
         )
-        .agg(F.min(c("o_orderkey") % 10).alias("hospital"))
-    )
-    day_number = F.datediff("date", F.lit(Date(1995, 1, 1)))
-    vaccination_event = (
-        vaccine_patient.select("date", "hospital")
-        .distinct()
-        .withColumn("batch", (day_number * 10 + c("hospital")) % part.agg(F.count("*")).scalar())
-    )
-    grade = F.floor(F.sqrt("p_size")).cast("int")
-    diagnosis = (
-        lineitem.where("l_returnflag = 'R' and l_linestatus = 'F'")
-        .select("l_orderkey", "l_partkey", c("l_shipdate").cast("date").alias("date"))
-        .join(orders.select("o_orderkey", "o_custkey"), c("l_orderkey") == c("o_orderkey"))
-        .join(part.select("p_partkey", _prefixed("S", grade).alias("symptom")), c("l_partkey") == c("p_partkey"))
-        .select(c("o_custkey").alias("patient"), "symptom", "date")
-        .distinct()
-    )
-    # One symptom beyond the highest grade stays without a diagnosis.
-    symptoms = (
-        part.select(F.explode(F.array(grade, grade + 1)).alias("grade"))
-        .distinct()
-        .select(_prefixed("S", c("grade")).alias("name"), (c("grade") >= 6).alias("critical"))
-    )
-    worker = c("c_custkey")
-    staff = customer.where("c_mktsegment = 'MACHINERY'").select(
-        worker.alias("ssn"),
-        c("c_name").alias("name"),
-        _day(Date(1960, 1, 1), worker % 14000).alias("birthday"),
-        _prefixed("tel-", worker).alias("phone"),
-        F.when(worker % 3 == 0, "doctor").when(worker % 3 == 1, "nurse").otherwise("other").alias("role"),
-        (c("c_acctbal") > 0).alias("vacc_status"),
-        (worker % 10).alias("hospital"),
-    )
-    names = F.array(*[F.lit(name) for name in WEEKDAYS])
-    vaccination_shift = staff.select(
-        "hospital",
-        F.explode(F.array(c("ssn") % 7, (c("ssn") + 3) % 7)).alias("day"),
-        c("ssn").alias("worker"),
-    ).select("hospital", F.element_at(names, (c("day") + 1).cast("int")).alias("weekday"), "worker")
-
-    return Tables(
-        {
-            "vaccine_type": vaccine_type,
-            "manufacturer": manufacturer,
-            "hospital": hospital,
-            "batch": batch,
-            "transport_log": transport_log,
-            "staff": staff,
-            "vaccination_shift": vaccination_shift,
-            "vaccination_event": vaccination_event,
-            "patient": patient,
-            "vaccine_patient": vaccine_patient,
-            "symptoms": symptoms,
-            "diagnosis": diagnosis,
-        }
-    )
+
+    def hospital(self) -> DataFrame:
+        supplier = self.source("supplier").where("s_suppkey < 10")
+        return supplier.join(self.source("nation"), F.col("s_nationkey") == F.col("n_nationkey")).select(
+            F.col("s_suppkey").alias("name"),
+            F.col("n_name").alias("address"),
+            _prefixed("tel-", F.col("s_suppkey")).alias("phone"),
+        )
+
+    def batch(self) -> DataFrame:
+        number = F.col("p_partkey")
+        return self.source("part").select(
+            number.alias("id"),
+            (F.col("p_size") + 10).alias("num_of_vacc"),
+            _type_id(number % 5).alias("vaccine_type"),
+            _prefixed("NATION_", number % 25).alias("manufacturer"),
+            _day(Date(1994, 1, 1), number % 365).alias("prod_date"),
+            _day(Date(2002, 1, 1), number % 365).alias("exp_date"),
+            (number % 10).alias("hospital"),
+        )
+
+    def transport_log(self) -> DataFrame:
+        shipped = F.col("l_shipdate")
+        return self.source("lineitem").select(
+            F.col("l_partkey").alias("batch"),
+            ((F.col("l_suppkey") + 1) % 10).alias("dep_hos"),
+            (F.col("l_suppkey") % 10).alias("arr_hos"),
+            shipped.alias("dep_date"),
+            (shipped + F.expr("interval 1 day")).alias("arr_date"),
+        )
+
+    def patient(self) -> DataFrame:
+        number = F.col("c_custkey")
+        return self.source("customer").select(
+            number.alias("ssn"),
+            F.col("c_name").alias("name"),
+            _day(Date(1930, 1, 1), number * 7919 % 33238).alias("birthday"),
+            F.when(number % 2 == 0, "F").otherwise("M").alias("gender"),
+        )
+
+    def vaccine_patient(self) -> DataFrame:
+        month = F.trunc("o_orderdate", "month")
+        orders = self.source("orders").where("o_orderpriority = '1-URGENT' and o_orderstatus = 'F'")
+        return orders.groupBy(
+            F.col("o_custkey").alias("patient"),
+            F.date_add(month, (F.col("o_orderkey") % 5).cast("int")).alias("date"),
+        ).agg(F.min(F.col("o_orderkey") % 10).alias("hospital"))
+
+    def vaccination_event(self) -> DataFrame:
+        day_number = F.datediff("date", F.lit(Date(1995, 1, 1)))
+        n_batches = self.source("part").agg(F.count("*")).scalar()
+        events = self.tables["vaccine_patient"].select("date", "hospital").distinct()
+        return events.withColumn("batch", (day_number * 10 + F.col("hospital")) % n_batches)
+
+    def _grade(self) -> Column:
+        return F.floor(F.sqrt("p_size")).cast("int")
+
+    def diagnosis(self) -> DataFrame:
+        reported = (
+            self.source("lineitem")
+            .where("l_returnflag = 'R' and l_linestatus = 'F'")
+            .select("l_orderkey", "l_partkey", F.col("l_shipdate").cast("date").alias("date"))
+        )
+        orders = self.source("orders").select("o_orderkey", F.col("o_custkey").alias("patient"))
+        part = self.source("part").select("p_partkey", _prefixed("S", self._grade()).alias("symptom"))
+        return (
+            reported.join(orders, F.col("l_orderkey") == F.col("o_orderkey"))
+            .join(part, F.col("l_partkey") == F.col("p_partkey"))
+            .select("patient", "symptom", "date")
+            .distinct()
+        )
+
+    def symptoms(self) -> DataFrame:
+        # One symptom beyond the highest grade stays without a diagnosis.
+        grades = self.source("part").select(F.explode(F.array(self._grade(), self._grade() + 1)).alias("grade"))
+        return grades.distinct().select(
+            _prefixed("S", F.col("grade")).alias("name"), (F.col("grade") >= 6).alias("critical")
+        )
+
+    def staff(self) -> DataFrame:
+        number = F.col("c_custkey")
+        role = F.when(number % 3 == 0, "doctor").when(number % 3 == 1, "nurse").otherwise("other")
+        return self.source("customer").where("c_mktsegment = 'MACHINERY'").select(
+            number.alias("ssn"),
+            F.col("c_name").alias("name"),
+            _day(Date(1960, 1, 1), number % 14000).alias("birthday"),
+            _prefixed("tel-", number).alias("phone"),
+            role.alias("role"),
+            (F.col("c_acctbal") > 0).alias("vacc_status"),
+            (number % 10).alias("hospital"),
+        )
+
+    def vaccination_shift(self) -> DataFrame:
+        names = F.array(*[F.lit(name) for name in WEEKDAYS])
+        days = F.explode(F.array(F.col("ssn") % 7, (F.col("ssn") + 3) % 7)).alias("day")
+        shifts = self.tables["staff"].select("hospital", days, F.col("ssn").alias("worker"))
+        weekday = F.element_at(names, (F.col("day") + 1).cast("int"))
+        return shifts.select("hospital", weekday.alias("weekday"), "worker")
+
+
+def sample_tables(spark: SparkSession, sf_dir: str) -> Tables:
+    return _Sample(spark, sf_dir).tables
 
 
 def as_sheet(df: DataFrame, table: str) -> DataFrame:

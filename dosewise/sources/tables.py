@@ -2,11 +2,11 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator, Mapping, Sequence
+from collections.abc import Callable, Iterator, Mapping, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 
-from dosewise.sources.contracts import CONTRACTS
+from dosewise.sources.contracts import CONTRACTS, Contract
 from dosewise.sources.ingest import ingest
 
 WRITE_MODES = ("append", "overwrite")
@@ -43,16 +43,23 @@ def write_table(
 
 
 class Tables(Mapping[str, DataFrame]):
-    """Table name to lazy DataFrame. Nothing is read until a job runs."""
+    """Table name to lazy DataFrame. Nothing is read until a job runs.
 
-    def __init__(self, frames: Mapping[str, DataFrame]):
+    A table may be given as a function that makes it; it is called on first use, so a
+    job over two tables does not resolve the other ten.
+    """
+
+    def __init__(self, frames: Mapping[str, DataFrame | Callable[[], DataFrame]]):
         unknown = sorted(set(frames) - set(CONTRACTS))
         if unknown:
             raise ValueError(f"unknown tables {unknown}")
         self._frames = dict(frames)
 
     def __getitem__(self, name: str) -> DataFrame:
-        return self._frames[name]
+        frame = self._frames[name]
+        if callable(frame):
+            frame = self._frames[name] = frame()
+        return frame
 
     def __iter__(self) -> Iterator[str]:
         return iter(self._frames)
@@ -63,9 +70,11 @@ class Tables(Mapping[str, DataFrame]):
     @classmethod
     def stored(cls, spark: SparkSession, root: str) -> Tables:
         """Clean tables kept as ``root/<table>`` parquet, read with the contract schema."""
-        return cls(
-            {name: spark.read.schema(c.schema).parquet(f"{root}/{name}") for name, c in CONTRACTS.items()}
-        )
+
+        def reader(contract: Contract) -> Callable[[], DataFrame]:
+            return lambda: spark.read.schema(contract.schema).parquet(f"{root}/{contract.table}")
+
+        return cls({name: reader(contract) for name, contract in CONTRACTS.items()})
 
     @classmethod
     def from_sheets(cls, sheets: Mapping[str, DataFrame]) -> Tables:
@@ -79,10 +88,10 @@ class Tables(Mapping[str, DataFrame]):
     def save(self, root: str, mode: str = "append") -> None:
         """Write every table, parents before the tables that refer to them."""
         for name in CONTRACTS:
-            if name in self._frames:
-                write_table(self._frames[name], f"{root}/{name}", mode)
+            if name in self:
+                write_table(self[name], f"{root}/{name}", mode)
 
     def create_views(self) -> None:
         """Session views under the table names, for ad-hoc ``spark.sql``."""
-        for name, df in self._frames.items():
+        for name, df in self.items():
             df.createOrReplaceTempView(name)

@@ -73,7 +73,7 @@ vaccination_shift AS (
 """
 
 WORKER = 84
-PATIENT = 84
+PATIENT = 16
 
 AGED = """
 aged AS (SELECT *, floor((DATE '2021-05-15' - birthday) / 365.2425) AS age FROM patient),
@@ -269,7 +269,7 @@ STATEMENTS = {
     "staff_on_duty_own_weekday": """
     SELECT w.ssn, w.name, w.phone, w.role, w.vacc_status, s.hospital
     FROM staff w, vaccination_event e, vaccination_shift s
-    WHERE e.date = DATE '1995-07-04' AND s.hospital = e.hospital AND s.weekday = dayname(e.date)
+    WHERE e.date = DATE '1998-03-05' AND s.hospital = e.hospital AND s.weekday = dayname(e.date)
       AND s.worker = w.ssn""",
     "staff_by_shift_and_area": """
     SELECT w.ssn, w.name, w.phone, w.role, w.vacc_status, w.hospital
