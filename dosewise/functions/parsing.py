@@ -14,18 +14,16 @@ from pyspark.sql.types import (
     TimestampType,
 )
 
-# Fixed value: the text forms in which a spreadsheet export writes a date cell. A plain
-# cast would also take '2021' and '2021-05' for dates.
-DATE_TEXT = r"^\d{4}-\d{2}-\d{2}([ T]\d{2}:\d{2}:\d{2}(\.\d+)?)?$"
-
-
 def _timestamp(cell: Column, source: DataType) -> Column:
     if isinstance(source, (DateType, TimestampType, TimestampNTZType)):
         return cell.cast("timestamp_ntz")
     if not isinstance(source, StringType):
         return F.lit(None).cast("timestamp_ntz")
+    # A spreadsheet export writes yyyy-MM-dd, with or without a time. A plain cast would
+    # also take '2021' and '2021-5' for dates.
     text = F.trim(cell)
-    return F.when(text.rlike(DATE_TEXT), text.try_cast("timestamp_ntz"))
+    whole = (F.length(text) >= 10) & (F.substring(text, 5, 1) == "-") & (F.substring(text, 8, 1) == "-")
+    return F.when(whole, text.try_cast("timestamp_ntz"))
 
 
 def _date(cell: Column, source: DataType) -> Column:

@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -12,39 +10,45 @@ from dosewise.sources.contracts import CONTRACTS, Contract
 from dosewise.sources.tables import Tables
 
 
-def _named(counts: DataFrame, contract: Contract) -> DataFrame:
-    return counts.select(
+def _rows(violating: DataFrame, contract: Contract, rule: str, kind: str, refused: str) -> DataFrame:
+    return violating.select(
         F.lit(contract.table).alias("table"),
-        F.col("rule").alias("constraint"),
-        "kind",
-        F.col("violations").cast("bigint").alias("violations"),
+        F.lit(rule).alias("constraint"),
+        F.lit(kind).alias("kind"),
+        F.expr(refused).cast("bigint").alias("violations"),
     )
 
 
-def _total(violating: DataFrame, rule: str, kind: str, refused: str) -> DataFrame:
-    return violating.agg(F.coalesce(F.sum(F.expr(refused)), F.lit(0)).alias("violations")).select(
-        F.lit(rule).alias("rule"), F.lit(kind).alias("kind"), "violations"
-    )
+def _table_parts(t: Tables, contract: Contract) -> list[DataFrame]:
+    df, key_rule = t[contract.table], ", ".join(contract.key)
+    references = [r for r in contract.references if r.parent in t]
+    # Rules found out by a shuffle report violations only, so their zero comes from here.
+    settled = [("primary key", key_rule)] + [("foreign key", r.label) for r in references]
+    counts = row_rule_counts(df, list(contract.columns), contract.row_checks, settled)
+    parts = [
+        counts.select(F.lit(contract.table).alias("table"), F.col("rule").alias("constraint"), "kind", "violations"),
+        _rows(key_violations(df, contract.key), contract, key_rule, "primary key", "n - 1"),
+    ]
+    for ref in references:
+        orphans = fk_violations(df, t[ref.parent], dict(zip(ref.columns, ref.parent_columns)))
+        parts.append(_rows(orphans, contract, ref.label, "foreign key", "n"))
+    return parts
+
+
+def _all_rows(parts: list[DataFrame]) -> DataFrame:
+    # Pairing halves keeps the plan shallow: a chain is analysed anew at every link.
+    if len(parts) == 1:
+        return parts[0]
+    middle = len(parts) // 2
+    return _all_rows(parts[:middle]).unionByName(_all_rows(parts[middle:]))
 
 
 def validate(t: Tables) -> DataFrame:
     """``(table, constraint, kind, violations)`` for every declared rule, zeros included.
 
     One scan per table settles all its NOT NULL and check rules; a key or a reference
-    costs one pre-aggregated shuffle. Rules whose tables are not given are left out.
+    costs one pre-aggregated shuffle. The totals of all rules are added up in one last
+    aggregate. Rules whose tables are not given are left out.
     """
-    parts = []
-    for name, df in t.items():
-        contract = CONTRACTS[name]
-        parts.append(_named(row_rule_counts(df, list(contract.columns), contract.row_checks), contract))
-        parts.append(
-            _named(
-                _total(key_violations(df, contract.key), ", ".join(contract.key), "primary key", "n - 1"),
-                contract,
-            )
-        )
-        for ref in contract.references:
-            if ref.parent in t:
-                orphans = fk_violations(df, t[ref.parent], dict(zip(ref.columns, ref.parent_columns)))
-                parts.append(_named(_total(orphans, ref.label, "foreign key", "n"), contract))
-    return reduce(DataFrame.unionByName, parts)
+    parts = [part for name in t for part in _table_parts(t, CONTRACTS[name])]
+    return _all_rows(parts).groupBy("table", "constraint", "kind").agg(F.sum("violations").alias("violations"))

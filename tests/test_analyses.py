@@ -1,0 +1,331 @@
+from datetime import date, datetime, timedelta
+
+import pytest
+from conftest import rows
+
+from dosewise.functions.dates import ALL_BANDS
+from dosewise.plans import analyses
+
+
+def batch(name, product, amount=8):
+    return (name, amount, product, "M", "2021-01-01", "2022-01-01", "H1")
+
+
+DOSES = dict(
+    batch=[batch("b1", "V01"), batch("b2", "V02")],
+    vaccination_event=[
+        ("2021-01-01", "H1", "b1"),
+        ("2021-01-10", "H1", "b2"),
+        ("2021-01-20", "H2", "b1"),
+    ],
+    patient=[(p, p.upper(), "1990-01-01", "M" if p in "ab" else "F") for p in "abcd"],
+    vaccine_patient=[
+        # Listed late first.
+        ("a", "2021-01-20", "H2"),
+        ("a", "2021-01-10", "H1"),
+        ("a", "2021-01-01", "H1"),
+        ("b", "2021-01-20", "H2"),
+        ("b", "2021-01-01", "H1"),
+        ("c", "2021-01-10", "H1"),
+    ],
+)
+
+
+def test_patient_symptoms(tables):
+    t = tables(
+        patient=[("a", "Ann", "1990-01-01", "F"), ("b", "Bob", "1990-01-01", "M")],
+        diagnosis=[("a", "fever", "2021-01-01"), ("a", "ache", "2021-01-01"), ("x", "ache", "2021-01-01")],
+    )
+    found = analyses.patient_symptoms(t)
+    assert found.columns == ["ssn", "gender", "date_of_birth", "symptom", "diagnosis_date"]
+    assert rows(found) == [
+        ("a", "F", "1990-01-01", "ache", "2021-01-01"),
+        ("a", "F", "1990-01-01", "fever", "2021-01-01"),
+    ]
+
+
+def test_patient_vaccine_info_orders_doses_by_date(tables):
+    info = analyses.patient_vaccine_info(tables(**DOSES))
+    assert info.columns == ["ssn", "date1", "date2", "vaccine_type1", "vaccine_type2"]
+    assert rows(info) == [
+        ("a", "2021-01-01", "2021-01-10", "V01", "V02"),
+        ("b", "2021-01-01", "2021-01-20", "V01", "V01"),
+        ("c", "2021-01-10", None, "V02", None),
+        ("d", None, None, None, None),
+    ]
+    assert analyses.patient_vaccine_info(tables(**DOSES), max_doses=3).columns[-1] == "vaccine_type3"
+
+
+def test_top_symptoms_break_ties_by_name(tables):
+    def reports(patient, counts):
+        return [
+            (patient, symptom, str(date(2021, 1, 1) + timedelta(d))) for symptom, n in counts.items() for d in range(n)
+        ]
+
+    t = tables(
+        patient=[("a", "A", "1990-01-01", "M"), ("b", "B", "1990-01-01", "F"), ("c", "C", "1990-01-01", "X")],
+        diagnosis=reports("a", {"fever": 3, "ache": 2, "rash": 1, "cough": 1})
+        + reports("b", {"rash": 1})
+        + reports("c", {"fever": 9}),
+    )
+    top = analyses.top_symptoms(t)
+    assert top.columns == ["gender", "rank", "symptom", "n"]
+    assert rows(top) == [("F", 1, "rash", 1), ("M", 1, "fever", 3), ("M", 2, "ache", 2), ("M", 3, "cough", 1)]
+
+
+AS_OF = date(2021, 5, 15)
+
+
+def aged(tables, ages, as_of=AS_OF):
+    """Patients a day past the mean-year birthday of each age."""
+    days = {age: int(age * 365.2425) + 1 for age in ages}
+    return tables(patient=[(str(a), "n", as_of - timedelta(d), "F") for a, d in days.items()])
+
+
+def test_age_groups_keep_the_uneven_edges(tables):
+    t = aged(tables, [0, 9, 10, 19, 20, 38, 39, 58, 59, 60, 95])
+    groups = dict(rows(analyses.patient_age_group(t, AS_OF), "ssn", "age_group"))
+    assert groups == {
+        "0": "0-9",
+        "9": "0-9",
+        "10": "10-19",
+        "19": "10-19",
+        "20": "20-39",
+        "38": "20-39",
+        "39": "40-59",
+        "58": "40-59",
+        "59": "0",
+        "60": "60+",
+        "95": "60+",
+    }
+    as_labelled = dict(rows(analyses.patient_age_group(t, AS_OF, bands="labelled"), "ssn", "age_group"))
+    assert (as_labelled["39"], as_labelled["59"]) == ("20-39", "40-59")
+
+
+def test_age_counts_mean_years_and_time_of_day(tables):
+    # 3,652.425 days are ten mean years: at midnight of day 3,652 not yet, at noon yes.
+    t = tables(patient=[("p", "n", AS_OF - timedelta(3652), "F")])
+    assert rows(analyses.patient_age_group(t, AS_OF), "age_group") == [("0-9",)]
+    noon = datetime(2021, 5, 15, 12)
+    assert rows(analyses.patient_age_group(t, noon), "age_group") == [("10-19",)]
+
+
+def test_age_by_calendar(tables):
+    t = tables(patient=[("p", "n", "2011-05-15", "F"), ("q", "n", "2011-05-16", "F")])
+    groups = analyses.patient_age_group(t, AS_OF, age_mode="calendar")
+    assert rows(groups, "ssn", "age_group") == [("p", "10-19"), ("q", "0-9")]
+    with pytest.raises(ValueError):
+        analyses.patient_age_group(t, AS_OF, age_mode="lunar")
+
+
+def test_patient_dose_count(tables):
+    counted = analyses.patient_dose_count(tables(**DOSES), AS_OF)
+    assert counted.columns == ["ssn", "name", "birthday", "gender", "age_group", "vacc_status"]
+    assert rows(counted, "ssn", "vacc_status") == [("a", 3), ("b", 2), ("c", 1), ("d", 0)]
+
+
+def test_coverage_counts_everyone_and_leaves_empty_cells_null(tables):
+    coverage = analyses.coverage_by_age(tables(**DOSES), AS_OF)
+    assert coverage.columns == ["vacc_status", *ALL_BANDS]
+    # All four are 31. The patient with three doses only adds to the whole.
+    assert rows(coverage, "vacc_status", "20-39", "0-9") == [
+        ("0-vacc", 25.0, None),
+        ("1-vacc", 25.0, None),
+        ("2-vacc", 25.0, None),
+    ]
+    t = tables(**{**DOSES, "vaccine_patient": [("a", "2021-01-01", "H1"), ("b", "2021-01-01", "H1")]})
+    assert rows(analyses.coverage_by_age(t, AS_OF), "vacc_status", "20-39") == [
+        ("0-vacc", 50.0),
+        ("1-vacc", 50.0),
+        ("2-vacc", None),
+    ]
+
+
+def test_attribution_takes_the_latest_earlier_dose_per_hospital(tables):
+    t = tables(
+        **DOSES,
+        diagnosis=[
+            ("a", "fever", "2021-01-15"),
+            ("a", "fever", "2021-01-25"),
+            # On the day of the second dose, so the first one it is.
+            ("a", "rash", "2021-01-10"),
+            # Before or on the day of the only dose.
+            ("c", "ache", "2021-01-10"),
+            ("d", "ache", "2021-01-30"),
+        ],
+    )
+    found = analyses.attribute_symptoms(t)
+    assert found.columns == ["patient", "hospital", "symptom", "symptom_date", "vacc_date", "vaccine_type"]
+    assert rows(found) == [
+        ("a", "H1", "fever", "2021-01-15", "2021-01-10", "V02"),
+        ("a", "H1", "fever", "2021-01-25", "2021-01-10", "V02"),
+        ("a", "H1", "rash", "2021-01-10", "2021-01-01", "V01"),
+        ("a", "H2", "fever", "2021-01-25", "2021-01-20", "V01"),
+    ]
+
+
+def test_attribution_ignores_doses_without_an_event(tables):
+    data = {**DOSES, "vaccine_patient": [("a", "2021-01-01", "H1"), ("a", "2021-01-02", "H1")]}
+    t = tables(**data, diagnosis=[("a", "fever", "2021-01-05")])
+    assert rows(analyses.attribute_symptoms(t), "vacc_date") == [("2021-01-01",)]
+
+
+def test_symptom_labels(tables):
+    # 20 reports after V01: 2 fever (0.10), 1 rash (0.05), 17 ache.
+    days = [str(date(2021, 2, 1) + timedelta(d)) for d in range(17)]
+    t = tables(
+        batch=[batch("b1", "V01"), batch("b2", "V02")],
+        vaccination_event=[("2021-01-01", "H1", "b1"), ("2021-01-01", "H2", "b2")],
+        patient=[("a", "A", "1990-01-01", "M"), ("b", "B", "1990-01-01", "M")],
+        vaccine_patient=[("a", "2021-01-01", "H1"), ("b", "2021-01-01", "H2")],
+        symptoms=[("ache", False), ("fever", False), ("rash", True), ("shock", True)],
+        diagnosis=[("a", "ache", d) for d in days]
+        + [("a", "fever", days[0]), ("a", "fever", days[1]), ("a", "rash", days[0])]
+        + [("b", "ache", d) for d in days]
+        + [("b", "fever", d) for d in days[:8]]
+        + [("b", "rash", days[0])],
+    )
+    expected = [
+        ("ache", False, "very common", "very common"),
+        ("fever", False, "very common", "very common"),
+        ("rash", True, "common", "rare"),
+        ("shock", True, "-", "-"),
+    ]
+    found = analyses.symptom_labels(t)
+    assert found.columns == ["name", "critical", "V01", "V02"]
+    assert rows(found) == expected
+    fixed = analyses.symptom_labels(t, ["V02", "V09"])
+    assert rows(fixed, "name", "V02", "V09") == [(n, v2, "-") for n, _, _, v2 in expected]
+
+
+PARTICIPATION = dict(
+    batch=[batch("b1", "V01", 8), batch("b2", "V02", 16), batch("b3", "V02", 16)],
+    vaccination_event=[("2021-01-01", "H1", "b1"), ("2021-01-02", "H1", "b2"), ("2021-01-03", "H1", "b3")],
+    vaccine_patient=[("a", "2021-01-01", "H1"), ("a", "2021-01-02", "H1"), ("b", "2021-01-02", "H1")],
+)
+
+
+def test_event_participation_leaves_out_empty_events(tables):
+    found = analyses.event_participation(tables(**PARTICIPATION))
+    assert found.columns == ["date", "hospital", "id", "num_of_vacc", "num_patient", "participation"]
+    assert rows(found) == [("2021-01-01", "H1", "b1", 8, 1, 12.5), ("2021-01-02", "H1", "b2", 16, 2, 12.5)]
+
+
+def test_participation_rounds_halves_to_even(tables):
+    # 1/800 is 0.125 percent and 3/800 is 0.375.
+    t = tables(
+        batch=[batch("b1", "V01", 800), batch("b2", "V01", 800)],
+        vaccination_event=[("2021-01-01", "H1", "b1"), ("2021-01-02", "H1", "b2")],
+        vaccine_patient=[("a", "2021-01-01", "H1")] + [(p, "2021-01-02", "H1") for p in "abc"],
+    )
+    assert rows(analyses.event_participation(t), "participation") == [(0.12,), (0.38,)]
+
+
+def test_reserve_percentage(tables):
+    data = {**PARTICIPATION, "vaccine_patient": PARTICIPATION["vaccine_patient"] + [("c", "2021-01-02", "H1")]}
+    # 12.5 and 18.75 percent: mean 15.625 -> 15.62, deviation 4.419... -> 4.42.
+    found = analyses.reserve_percentage(tables(**data))
+    assert found.columns == ["mean", "std", "reserve"]
+    mean, std, reserve = rows(found)[0]
+    assert (mean, std) == (15.62, 4.42)
+    assert reserve == pytest.approx(20.04)
+
+
+def test_reserve_percentage_of_a_single_event_is_unknown(tables):
+    data = {**PARTICIPATION, "vaccine_patient": [("a", "2021-01-01", "H1")]}
+    assert rows(analyses.reserve_percentage(tables(**data))) == [(12.5, None, None)]
+
+
+def test_curves(tables):
+    t = tables(**DOSES)
+    first = analyses.cumulative_vaccinated(t)
+    assert first.columns == ["date", "vaccinated"]
+    assert rows(first) == [("2021-01-01", 2), ("2021-01-10", 3)]
+    last = analyses.cumulative_fully_vaccinated(t)
+    assert last.columns == ["date", "two_vaccines"]
+    # The patient with three doses is dated at the third.
+    assert rows(last) == [("2021-01-20", 2)]
+    assert rows(analyses.cumulative_fully_vaccinated(t, at="second")) == [("2021-01-10", 1), ("2021-01-20", 2)]
+    with pytest.raises(ValueError):
+        analyses.cumulative_fully_vaccinated(t, at="third")
+    assert rows(analyses.coverage_series(t), "series", "date", "n") == [
+        ("two_vaccines", "2021-01-20", 2),
+        ("vaccinated", "2021-01-01", 2),
+        ("vaccinated", "2021-01-10", 3),
+    ]
+
+
+def contact_tables(tables, **changes):
+    data = dict(
+        # 2021-05-05 is a Wednesday, 05-10 a Monday, 05-15 a Saturday.
+        vaccination_event=[
+            ("2021-05-05", "H1", "b"),
+            ("2021-05-10", "H1", "b"),
+            ("2021-05-15", "H1", "b"),
+            ("2021-05-10", "H2", "b"),
+            ("2021-05-12", "H1", "b"),
+        ],
+        vaccination_shift=[
+            ("H1", "Wednesday", "w"),
+            ("H1", "Saturday", "w"),
+            ("H1", "Wednesday", "n1"),
+            ("H1", "Saturday", "n2"),
+            ("H1", "Monday", "n3"),
+            ("H2", "Monday", "n4"),
+        ],
+        staff=[(s, s.upper(), "1980-01-01", "1", "nurse", True, "H1") for s in ("w", "n1", "n2", "n3", "n4")],
+        patient=[(p, p.upper(), "1990-01-01", "F") for p in ("a", "b", "c", "d")] + [("n1", "N1", "1980-01-01", "F")],
+        vaccine_patient=[
+            ("a", "2021-05-05", "H1"),
+            ("b", "2021-05-15", "H1"),
+            # Met as a patient and as a colleague, listed once.
+            ("n1", "2021-05-15", "H1"),
+            ("c", "2021-05-10", "H1"),
+            ("d", "2021-05-12", "H1"),
+        ],
+    )
+    return tables(**{**data, **changes})
+
+
+def contacts(t, start=date(2021, 5, 5), end=date(2021, 5, 15), **options):
+    return rows(analyses.contacts(t, "w", start, end, **options))
+
+
+def test_contacts_in_a_closed_date_range(tables):
+    t = contact_tables(tables)
+    assert contacts(t) == [("a", "A"), ("b", "B"), ("d", "D"), ("n1", "N1"), ("n2", "N2")]
+    assert contacts(t, start=date(2021, 5, 6), end=date(2021, 5, 14)) == [("d", "D"), ("n1", "N1")]
+    assert contacts(t, start=date(2021, 5, 16), end=date(2021, 5, 17)) == []
+
+
+def test_contacts_report_an_event_without_patients(tables):
+    t = contact_tables(tables, vaccine_patient=[("a", "2021-05-05", "H1")])
+    assert contacts(t) == [("a", "A"), ("n1", "N1"), ("n2", "N2"), (None, None)]
+    assert contacts(t, drop_unknown=True) == [("a", "A"), ("n1", "N1"), ("n2", "N2")]
+
+
+def test_contacts_report_a_shift_without_colleagues(tables):
+    t = contact_tables(tables, vaccination_shift=[("H1", "Wednesday", "w"), ("H1", "Saturday", "w"), ("H1", "Saturday", "n2")])
+    assert (None, None) in contacts(t)
+    assert ("n1", "N1") in contacts(t) and ("n2", "N2") in contacts(t)
+
+
+def test_contacts_report_an_unregistered_patient_without_id(tables):
+    t = contact_tables(tables, patient=[(p, p.upper(), "1990-01-01", "F") for p in ("a", "b", "d")])
+    # n1 is not registered as a patient any more, but still known as a colleague.
+    assert contacts(t) == [("a", "A"), ("b", "B"), ("d", "D"), ("n1", "N1"), ("n2", "N2"), (None, None)]
+
+
+def test_contacts_may_hold_the_worker_as_a_patient(tables):
+    t = contact_tables(
+        tables,
+        patient=[("w", "W", "1980-01-01", "F")],
+        vaccine_patient=[("w", "2021-05-05", "H1"), ("w", "2021-05-12", "H1"), ("w", "2021-05-15", "H1")],
+    )
+    assert contacts(t) == [("n1", "N1"), ("n2", "N2"), ("w", "W")]
+
+
+def test_staff_for_patient(tables):
+    found = analyses.staff_for_patient(contact_tables(tables), "a")
+    assert found.columns == ["patient", "date", "hospital", "ssn", "name", "role"]
+    assert rows(found, "date", "ssn") == [("2021-05-05", "n1"), ("2021-05-05", "w")]
