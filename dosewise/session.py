@@ -7,8 +7,9 @@ import tempfile
 from pyspark import SparkConf
 from pyspark.sql import SparkSession
 
-# Adaptive execution does three things the jobs count on at scale: it demotes a
-# join to broadcast only after it has seen the shuffled size of the small side,
+# Adaptive execution does four things the jobs count on at scale, all after it has
+# seen shuffled sizes: it broadcasts a side that turned out small, joins by hash
+# instead of sorting both sides if every partition of one side fits the local limit,
 # splits a hot join key over several tasks, and merges small partitions. Shuffle
 # partitions can only be merged at run time, never added, so a cluster starts with
 # enough of them for a shuffle of several TB.
@@ -17,6 +18,7 @@ DEFAULTS = {
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.advisoryPartitionSizeInBytes": "128m",
+    "spark.sql.adaptive.maxShuffledHashJoinLocalMapThreshold": "128m",
     "spark.sql.session.timeZone": "UTC",
 }
 CLUSTER = {
@@ -50,6 +52,21 @@ def build_session(
     return builder.getOrCreate()
 
 
+HASH_JOIN_LIMIT = "spark.sql.adaptive.maxShuffledHashJoinLocalMapThreshold"
+PARTITION_SIZE = "spark.sql.adaptive.advisoryPartitionSizeInBytes"
+
+
+def tune(spark: SparkSession) -> SparkSession:
+    """Let a session started elsewhere join by hash where partitions are small.
+
+    Spark ships with this off. The limit is the session's own partition size; a limit
+    already set stays, and larger partitions are joined by sorting as before.
+    """
+    if spark.conf.get(HASH_JOIN_LIMIT) in ("0", "0b"):
+        spark.conf.set(HASH_JOIN_LIMIT, spark.conf.get(PARTITION_SIZE))
+    return spark
+
+
 def checkpoint_root(spark: SparkSession) -> str:
     """The shared folder named by the cluster in ``spark.checkpoint.dir``.
 
