@@ -17,11 +17,6 @@ from dosewise.operators.reshape import first_n_wide, transpose
 from dosewise.plans.facts import dose_products, event_products
 from dosewise.sources.tables import Tables
 
-# The exposure window and worker of the standing contact query.
-CONTACT_WORKER = "19740919-7140"
-CONTACT_START = Date(2021, 5, 5)
-CONTACT_END = Date(2021, 5, 15)
-
 
 def patient_symptoms(t: Tables) -> DataFrame:
     """Every diagnosis with its patient's gender and date of birth."""
@@ -119,9 +114,11 @@ def attribute_symptoms(t: Tables, ordered: bool = True) -> DataFrame:
     than the result has; the dose itself is found by one ordered pass per patient and
     hospital. Reports are distinct by then, which bounds a patient by symptoms x days.
     The join leaves the reports partitioned by patient; with the doses laid out alike,
-    that pass needs no shuffle of its own.
+    that pass needs no shuffle of its own. Copies of a dose change nothing and go first.
     """
-    doses = dose_products(t).withColumnRenamed("date", "vacc_date").repartition("patient")
+    given = t["vaccine_patient"].distinct()
+    doses = dose_products(t.replaced(vaccine_patient=given))
+    doses = doses.withColumnRenamed("date", "vacc_date").repartition("patient")
     first = t["vaccine_patient"].groupBy("patient", "hospital").agg(F.min("date").alias("first_date"))
     reports = (
         t["diagnosis"].select("patient", "symptom", F.col("date").alias("symptom_date")).distinct()
@@ -245,9 +242,9 @@ def coverage_series(t: Tables) -> DataFrame:
 
 def contacts(
     t: Tables,
-    worker: str | int = CONTACT_WORKER,
-    start: Date = CONTACT_START,
-    end: Date = CONTACT_END,
+    worker: str | int,
+    start: Date,
+    end: Date,
     drop_unknown: bool = False,
 ) -> DataFrame:
     """People a worker may have met at events from ``start`` to ``end``, both included.

@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable, Iterator, Mapping, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql.types import StructType
 
 from dosewise.sources.contracts import CONTRACTS, Contract
 from dosewise.sources.ingest import ingest
@@ -13,16 +14,23 @@ WRITE_MODES = ("append", "overwrite")
 
 
 def read_source(
-    spark: SparkSession, path: str | None = None, fmt: str = "parquet", **options: str
+    spark: SparkSession,
+    path: str | None = None,
+    fmt: str = "parquet",
+    schema: StructType | str | None = None,
+    **options: str,
 ) -> DataFrame:
     """One sheet or table from any Spark source (csv, json, parquet, orc, jdbc, ...).
 
     CSV keeps its header line and reads every cell as text: types come from the
-    contract, never from a second inference pass over the data.
+    contract, never from a second inference pass over the data. JSON has no header, so
+    give large files a ``schema``, or Spark reads them once more to find their fields.
     """
     if fmt == "csv":
         options = {"header": "true", "inferSchema": "false", **options}
     reader = spark.read.format(fmt).options(**options)
+    if schema is not None:
+        reader = reader.schema(schema)
     return reader.load(path) if path is not None else reader.load()
 
 

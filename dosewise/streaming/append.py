@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import zlib
+
 from pyspark.sql import DataFrame
 from pyspark.sql.streaming import StreamingQuery
 
@@ -21,12 +23,14 @@ def append_stream(
     handles what is there and ends; run it again, or on a schedule, for more.
     """
     spark = raw.sparkSession
+    # Progress belongs to the target, so that two copies of a table each get every file.
+    target = zlib.crc32(path.encode())
     return (
         ingest(raw, contract, on_bad)
         .writeStream.format("parquet")
         .outputMode("append")
         .option("path", path)
-        .option("checkpointLocation", f"{checkpoint_root(spark)}/append/{contract.table}")
+        .option("checkpointLocation", f"{checkpoint_root(spark)}/append/{contract.table}-{target:08x}")
         .trigger(availableNow=True)
         .start()
     )

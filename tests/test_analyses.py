@@ -3,6 +3,7 @@ from datetime import date, datetime, timedelta
 import pytest
 from conftest import rows
 
+from dosewise import write_table
 from dosewise.functions.dates import ALL_BANDS
 from dosewise.plans import analyses
 
@@ -73,6 +74,15 @@ def test_top_symptoms_break_ties_by_name(tables):
     assert rows(top) == [("F", 1, "rash", 1), ("M", 1, "fever", 3), ("M", 2, "ache", 2), ("M", 3, "cough", 1)]
 
 
+def test_results_are_stored_and_replaced(spark, tables, tmp_path):
+    t = tables(**DOSES, diagnosis=[("a", "fever", "2021-01-05")])
+    for job in (analyses.patient_symptoms, analyses.patient_vaccine_info):
+        path = f"{tmp_path}/{job.__name__}"
+        for _ in range(2):
+            write_table(job(t), path, "overwrite")
+        assert rows(spark.read.parquet(path)) == rows(job(t))
+
+
 AS_OF = date(2021, 5, 15)
 
 
@@ -164,6 +174,12 @@ def test_attribution_takes_the_latest_earlier_dose_per_hospital(tables):
     ]
 
 
+def test_attribution_counts_copies_once(tables):
+    data = {**DOSES, "vaccine_patient": [("a", "2021-01-01", "H1")] * 5}
+    t = tables(**data, diagnosis=[("a", "fever", "2021-01-05")] * 4)
+    assert rows(analyses.attribute_symptoms(t), "vacc_date") == [("2021-01-01",)]
+
+
 def test_attribution_ignores_doses_without_an_event(tables):
     data = {**DOSES, "vaccine_patient": [("a", "2021-01-01", "H1"), ("a", "2021-01-02", "H1")]}
     t = tables(**data, diagnosis=[("a", "fever", "2021-01-05")])

@@ -7,13 +7,13 @@ from dosewise.streaming.append import append_stream
 
 
 def test_new_files_are_appended_once(spark, tmp_path):
-    inbox, table = f"{tmp_path}/inbox", f"{tmp_path}/diagnosis"
+    inbox = f"{tmp_path}/inbox"
     schema = "Patient string, Symptom string, date string"
 
     def deliver(*cells):
         spark.createDataFrame(list(cells), schema).write.mode("append").json(inbox)
 
-    def load():
+    def load(table=f"{tmp_path}/diagnosis"):
         raw = spark.readStream.schema(schema).json(inbox)
         append_stream(raw, CONTRACTS["diagnosis"], table).awaitTermination()
         return rows(spark.read.parquet(table))
@@ -22,7 +22,9 @@ def test_new_files_are_appended_once(spark, tmp_path):
     assert load() == [("p1", "fever", "2021-03-01")]
     assert load() == [("p1", "fever", "2021-03-01")]
     deliver(("p3", "ache", "2021-03-04"))
-    assert load() == [("p1", "fever", "2021-03-01"), ("p3", "ache", "2021-03-04")]
+    both = [("p1", "fever", "2021-03-01"), ("p3", "ache", "2021-03-04")]
+    assert load() == both
+    assert load(f"{tmp_path}/second") == both
 
 
 def test_checkpoint_folder_is_the_session_setting(spark):
