@@ -98,13 +98,10 @@ doses AS (
 ATTRIBUTED = (
     DOSES
     + """,
-prior AS (
-    SELECT d.patient, v.hospital, d.symptom, d.date AS symptom_date, max(v.date) AS vacc_date
-    FROM doses v JOIN diagnosis d ON d.patient = v.patient AND v.date < d.date
-    GROUP BY ALL),
 attributed AS (
-    SELECT p.*, v.vaccine_type
-    FROM prior p JOIN doses v ON v.patient = p.patient AND v.hospital = p.hospital AND v.date = p.vacc_date)
+    SELECT d.patient, v.hospital, d.symptom, d.date AS symptom_date, v.date AS vacc_date, v.vaccine_type
+    FROM diagnosis d, doses v WHERE v.patient = d.patient AND v.date < d.date
+    QUALIFY row_number() OVER (PARTITION BY d.patient, v.hospital, d.symptom, d.date ORDER BY v.date DESC) = 1)
 """
 )
 
@@ -113,6 +110,14 @@ last_leg AS (
     SELECT *, rank() OVER (PARTITION BY batch ORDER BY dep_date DESC) AS r FROM transport_log)
 """
 
+TURNOUT = """
+turnout AS (
+    SELECT date, hospital, b.id, b.num_of_vacc, num_patient,
+           round_even(num_patient::DOUBLE / b.num_of_vacc * 100, 2) AS participation
+    FROM (SELECT date, hospital, count(*) AS num_patient FROM vaccine_patient GROUP BY ALL)
+    JOIN vaccination_event e USING (date, hospital) JOIN batch b ON b.id = e.batch)
+"""
+
 FIRST_DATES = "(SELECT patient, min(date) AS date FROM vaccine_patient GROUP BY patient)"
 LAST_DATES = (
     "(SELECT patient, max(date) AS date FROM vaccine_patient GROUP BY patient HAVING count(*) >= 2)"
@@ -220,21 +225,23 @@ VALIDATE = " UNION ALL ".join(
 
 
 def _met(window: str) -> str:
-    return f""",
+    return f"""
 here AS (
-    SELECT e.date, e.hospital, s.weekday
-    FROM vaccination_event e JOIN vaccination_shift s ON s.hospital = e.hospital
-    JOIN day_names n ON n.day_name = s.weekday AND n.k + 1 = isodow(e.date)
-    WHERE s.worker = {WORKER} AND e.date {window}),
+    SELECT date, hospital, dayname(date) AS weekday FROM vaccination_event
+    WHERE date {window}
+      AND (hospital, dayname(date)) IN (SELECT (hospital, weekday) FROM vaccination_shift WHERE worker = {WORKER})),
+visitors AS (SELECT date, hospital, patient FROM here JOIN vaccine_patient USING (date, hospital)),
+colleagues AS (
+    SELECT hospital, weekday, worker FROM here JOIN vaccination_shift USING (hospital, weekday)
+    WHERE worker <> {WORKER}),
 met AS (
-    SELECT p.ssn, p.name FROM here h
-    LEFT JOIN vaccine_patient v ON v.hospital = h.hospital AND v.date = h.date
-    LEFT JOIN patient p ON p.ssn = v.patient
+    SELECT ssn, name FROM patient WHERE ssn IN (SELECT patient FROM visitors)
+    UNION
+    SELECT ssn, name FROM staff WHERE ssn IN (SELECT worker FROM colleagues)
     UNION
-    SELECT w.ssn, w.name FROM here h
-    LEFT JOIN vaccination_shift s
-      ON s.hospital = h.hospital AND s.weekday = h.weekday AND s.worker <> {WORKER}
-    LEFT JOIN staff w ON w.ssn = s.worker)
+    SELECT NULL, NULL FROM here
+    WHERE (date, hospital) NOT IN (SELECT (date, hospital) FROM visitors)
+       OR (hospital, weekday) NOT IN (SELECT (hospital, weekday) FROM colleagues))
 """
 
 
@@ -250,6 +257,15 @@ def _text(*names: str) -> list[str]:
     return [f"CAST({n} AS VARCHAR) AS {n}" for n in names]
 
 
+def _on_duty(day: str, weekday: str) -> str:
+    return f"""
+    SELECT ssn, name, phone, role, vacc_status, s.hospital
+    FROM staff JOIN (SELECT worker, hospital FROM vaccination_shift
+                     WHERE weekday = {weekday}
+                       AND hospital IN (SELECT hospital FROM vaccination_event WHERE date = {day})) s
+      ON worker = ssn"""
+
+
 def _exposure(site: str) -> str:
     return f"""
     SELECT p.ssn, p.name, b.id, b.vaccine_type, e.date, e.hospital
@@ -261,20 +277,14 @@ def _exposure(site: str) -> str:
 
 
 STATEMENTS = {
-    "staff_on_duty": """
-    SELECT w.ssn, w.name, w.phone, w.role, w.vacc_status, s.hospital
-    FROM staff w, vaccination_event e, vaccination_shift s
-    WHERE e.date = DATE '1995-06-05' AND s.hospital = e.hospital AND s.weekday = 'Monday'
-      AND s.worker = w.ssn""",
-    "staff_on_duty_own_weekday": """
-    SELECT w.ssn, w.name, w.phone, w.role, w.vacc_status, s.hospital
-    FROM staff w, vaccination_event e, vaccination_shift s
-    WHERE e.date = DATE '1998-03-05' AND s.hospital = e.hospital AND s.weekday = dayname(e.date)
-      AND s.worker = w.ssn""",
+    "staff_on_duty": _on_duty("DATE '1995-06-05'", "'Monday'"),
+    "staff_on_duty_own_weekday": _on_duty("DATE '1998-03-05'", "dayname(DATE '1998-03-05')"),
     "staff_by_shift_and_area": """
     SELECT w.ssn, w.name, w.phone, w.role, w.vacc_status, w.hospital
-    FROM hospital h JOIN vaccination_shift s ON s.hospital = h.name JOIN staff w ON w.ssn = s.worker
-    WHERE s.weekday = 'Monday' AND w.role = 'doctor' AND h.address LIKE '%0'""",
+    FROM (SELECT worker FROM vaccination_shift
+          WHERE weekday = 'Monday'
+            AND hospital IN (SELECT name FROM hospital WHERE right(address, 1) = '0')) s
+    JOIN (SELECT * FROM staff WHERE role = 'doctor') w ON w.ssn = s.worker""",
     "batch_location": ("SELECT batch, dep_hos AS last_location, arr_hos AS current_location FROM last_leg WHERE r = 1", LAST_LEG),
     "misplaced_batches": (
         """
@@ -285,13 +295,15 @@ STATEMENTS = {
     ),
     "critical_exposure": _exposure("e.hospital = v.hospital"),
     "critical_exposure_exact_event": _exposure("e.hospital = v.hospital AND e.date = v.date"),
-    "patient_status": """
-    SELECT p.ssn, p.name, p.birthday, p.gender,
-           coalesce(CAST(count(p.ssn) >= min(t.doses) AS INTEGER), 0) AS "vaccinationStatus"
-    FROM patient p LEFT JOIN vaccine_patient v ON v.patient = p.ssn
-    LEFT JOIN vaccination_event e ON e.date = v.date AND e.hospital = v.hospital
-    LEFT JOIN batch b ON b.id = e.batch LEFT JOIN vaccine_type t ON t.id = b.vaccine_type
-    GROUP BY p.ssn, p.name, p.birthday, p.gender""",
+    "patient_status": (
+        """
+    SELECT p.*, CASE WHEN (SELECT count(*) FROM vaccine_patient v WHERE v.patient = p.ssn)
+                       >= (SELECT min(t.doses) FROM doses d JOIN vaccine_type t ON t.id = d.vaccine_type
+                           WHERE d.patient = p.ssn)
+                THEN 1 ELSE 0 END AS "vaccinationStatus"
+    FROM patient p""",
+        DOSES,
+    ),
     "stock_by_type": """
     SELECT h.name AS hospital_name, CAST(sum(num_of_vacc) AS BIGINT) AS total_vaccines,
            CAST(coalesce(sum(num_of_vacc) FILTER (vaccine_type = 'V01'), 0) AS BIGINT) AS "V01_amount",
@@ -300,14 +312,18 @@ STATEMENTS = {
     FROM batch b JOIN hospital h ON h.name = b.hospital GROUP BY h.name""",
     "symptom_frequency": (
         """
-    SELECT a.name, b.symptom, ((200 * b.n + a.n) // (2 * a.n)) / 100.0::DOUBLE AS frequency
-    FROM (SELECT t.name, count(DISTINCT d.patient) AS n
-          FROM doses d JOIN vaccine_type t ON t.id = d.vaccine_type GROUP BY t.name) a
-    JOIN (SELECT t.name, g.symptom, count(DISTINCT d.patient) AS n
-          FROM doses d JOIN vaccine_type t ON t.id = d.vaccine_type
-          JOIN diagnosis g ON g.patient = d.patient AND d.date <= g.date
-          GROUP BY t.name, g.symptom) b ON b.name = a.name""",
-        DOSES,
+    SELECT name, symptom, ((200 * n + whole) // (2 * whole)) / 100.0::DOUBLE AS frequency
+    FROM (SELECT name, symptom, count(*) AS n
+          FROM (SELECT DISTINCT r.name, r.patient, g.symptom
+                FROM received r JOIN diagnosis g ON g.patient = r.patient AND g.date >= r.date)
+          GROUP BY ALL)
+    JOIN (SELECT name, count(*) AS whole FROM (SELECT DISTINCT name, patient FROM received) GROUP BY ALL)
+      USING (name)""",
+        DOSES
+        + """,
+received AS (
+    SELECT t.name, d.patient, d.date FROM doses d JOIN vaccine_type t ON t.id = d.vaccine_type)
+""",
     ),
     "patient_symptoms": """
     SELECT p.ssn, p.gender, p.birthday AS date_of_birth, d.symptom, d.date AS diagnosis_date
@@ -346,21 +362,13 @@ shares AS (
     FROM (SELECT vaccine_type, symptom, count(*) AS n FROM attributed GROUP BY ALL) g)
 """,
     ),
-    "event_participation": """
-    SELECT v.date, e.hospital, b.id, b.num_of_vacc, count(*) AS num_patient,
-           round_even(count(*)::DOUBLE / b.num_of_vacc * 100, 2) AS participation
-    FROM vaccine_patient v JOIN vaccination_event e ON e.date = v.date AND e.hospital = v.hospital
-    JOIN batch b ON b.id = e.batch GROUP BY v.date, e.hospital, b.id, b.num_of_vacc""",
+    "event_participation": ("SELECT * FROM turnout", TURNOUT),
     "reserve_percentage": (
         """
     SELECT mean, std, mean + std AS reserve
-    FROM (SELECT round_even(avg(rate), 2) AS mean, round_even(stddev_samp(rate), 2) AS std FROM rates)""",
-        """
-rates AS (
-    SELECT round_even(count(*)::DOUBLE / b.num_of_vacc * 100, 2) AS rate
-    FROM vaccine_patient v JOIN vaccination_event e ON e.date = v.date AND e.hospital = v.hospital
-    JOIN batch b ON b.id = e.batch GROUP BY v.date, e.hospital, b.id, b.num_of_vacc)
-""",
+    FROM (SELECT round_even(avg(participation), 2) AS mean, round_even(stddev_samp(participation), 2) AS std
+          FROM turnout)""",
+        TURNOUT,
     ),
     "cumulative_vaccinated": _curve(FIRST_DATES, "vaccinated"),
     "cumulative_fully_vaccinated": _curve(LAST_DATES, "two_vaccines"),
@@ -369,8 +377,8 @@ rates AS (
     SELECT date, 'vaccinated' AS series, vaccinated AS n FROM ({_curve(FIRST_DATES, "vaccinated")})
     UNION ALL
     SELECT date, 'two_vaccines' AS series, two_vaccines AS n FROM ({_curve(LAST_DATES, "two_vaccines")})""",
-    "contacts": ("SELECT ssn, name FROM met", _met(YEAR_1998).lstrip(",")),
-    "contacts_known": ("SELECT ssn, name FROM met WHERE ssn IS NOT NULL", _met(YEAR_1998).lstrip(",")),
+    "contacts": ("SELECT ssn, name FROM met", _met(YEAR_1998)),
+    "contacts_known": ("SELECT ssn, name FROM met WHERE ssn IS NOT NULL", _met(YEAR_1998)),
     "staff_for_patient": f"""
     SELECT v.patient, v.date, v.hospital, w.ssn, w.name, w.role
     FROM vaccine_patient v JOIN vaccination_shift s
