@@ -41,18 +41,16 @@ def transpose(df: DataFrame, labels: str, columns: Sequence[str], into: str, wid
     return long.groupBy(into).pivot(labels, list(wide)).agg(F.first("_cell"))
 
 
-def repeat_rows(df: DataFrame, copies: str, into: str, piece: int = 4096) -> DataFrame:
-    """Write each row ``copies`` times, numbered from 0 in ``into``.
+def repeat_rows(df: DataFrame, copies: str, order_by: Sequence[str] = (), piece: int = 256) -> DataFrame:
+    """Write each row ``copies`` times, in the order of ``order_by`` if given.
 
-    Numbers are made in pieces, so no array grows with the largest count.
+    A row is first cut into pieces of at most ``piece`` copies. Ordering shuffles pieces,
+    not copies, and spreads a row with very many of them over several tasks.
     """
-    starts = F.explode(F.sequence(F.lit(0).cast("bigint"), F.col(copies) - 1, F.lit(piece).cast("bigint")))
-    numbers = F.explode(
-        F.sequence(F.col("_start"), F.least(F.col("_start") + piece, F.col(copies)) - 1)
-    )
-    return (
-        df.where(F.col(copies) > 0)
-        .withColumn("_start", starts)
-        .withColumn(into, numbers)
-        .drop("_start", copies)
-    )
+    size = F.lit(piece).cast("bigint")
+    starts = F.explode(F.sequence(F.lit(0).cast("bigint"), F.col(copies) - 1, size))
+    pieces = df.where(F.col(copies) > 0).withColumn("_start", starts)
+    if order_by:
+        pieces = pieces.orderBy(*order_by, "_start")
+    copy = F.explode(F.sequence(F.lit(1).cast("bigint"), F.least(size, F.col(copies) - F.col("_start"))))
+    return pieces.withColumn("_copy", copy).drop("_start", "_copy", copies)

@@ -127,9 +127,8 @@ def critical_exposure(
         )
     )
     events = event_products(t).select("hospital", "date", F.col("batch").alias("id"), "vaccine_type")
-    rows = repeat_rows(exposed.join(events, site), "n_copies", "copy")
-    if ordered:
-        rows = rows.orderBy("ssn", "date", "hospital", "copy")
+    order = ["ssn", "date", "hospital"] if ordered else []
+    rows = repeat_rows(exposed.join(events, site), "n_copies", order)
     return rows.select("ssn", "name", "id", "vaccine_type", "date", "hospital")
 
 

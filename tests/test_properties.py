@@ -67,11 +67,14 @@ def test_first_n_wide(spark, data, n):
     assert sorted(map(tuple, found.collect())) == sorted(expected)
 
 
-@pytest.mark.parametrize("piece", [1, 3, 4096])
+@pytest.mark.parametrize("piece", [1, 3, 256])
 def test_repeat_rows(spark, piece):
-    df = spark.createDataFrame([("a", 0), ("b", 1), ("c", 7)], "k string, n bigint")
-    found = sorted(map(tuple, repeat_rows(df, "n", "i", piece).collect()))
-    assert found == [("b", 0)] + [("c", i) for i in range(7)]
+    df = spark.createDataFrame([("c", 7), ("a", 0), ("b", 1), ("d", 6)], "k string, n bigint")
+    expected = ["b"] + ["c"] * 7 + ["d"] * 6
+    assert sorted(r.k for r in repeat_rows(df, "n", piece=piece).collect()) == expected
+    found = repeat_rows(df, "n", ["k"], piece)
+    assert found.columns == ["k"]
+    assert [r.k for r in found.collect()] == expected
 
 
 @RELAXED

@@ -127,6 +127,14 @@ def test_critical_exposure_is_a_bag_over_all_events_of_the_hospital(tables):
     assert rows(reports.critical_exposure(t, ordered=False)) == rows(exposed)
 
 
+def test_critical_exposure_comes_in_order(tables, conf):
+    conf(spark_sql_shuffle_partitions="3", spark_sql_adaptive_coalescePartitions_enabled="false")
+    t = exposure_tables(tables).replaced(
+        diagnosis=tables(diagnosis=[(p, "shock", "2021-06-01") for p in ("p2", "p1")])["diagnosis"]
+    )
+    assert [r.ssn for r in reports.critical_exposure(t).collect()] == ["p1"] * 2 + ["p2"] * 2
+
+
 def test_critical_exposure_on_the_exact_event(tables):
     exposed = reports.critical_exposure(exposure_tables(tables), exact_event=True)
     assert rows(exposed, "ssn", "id") == [("p1", "b1"), ("p1", "b1")]
