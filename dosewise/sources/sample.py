@@ -7,7 +7,6 @@ volume and spread without data of the domain. Ids stay numbers.
 from __future__ import annotations
 
 from datetime import date as Date
-from functools import partial
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -49,7 +48,7 @@ class _Sample:
 
     def __init__(self, spark: SparkSession, sf_dir: str):
         self.spark, self.sf_dir = spark, sf_dir
-        self.tables = Tables({name: partial(getattr(self, name)) for name in CONTRACTS})
+        self.tables = Tables({name: getattr(self, name) for name in CONTRACTS})
 
     def source(self, name: str) -> DataFrame:
         return self.spark.read.schema(SOURCE_SCHEMAS[name]).parquet(f"{self.sf_dir}/{name}.parquet")
@@ -192,6 +191,9 @@ def as_sheet(df: DataFrame, table: str) -> DataFrame:
 def diagnosis_sheet(t: Tables) -> DataFrame:
     """The diagnosis sheet with both kinds of bad date: text, and a day that never was."""
     sheet = as_sheet(t["diagnosis"], "diagnosis")
-    number = F.col("patient").cast("bigint") % 10
-    damaged = F.when(number == 0, "not a date").when(number == 1, "2021-02-29").otherwise(F.col("date"))
+    damaged = (
+        F.when(F.col("symptom") == "S1", "not a date")
+        .when(F.col("symptom") == "S2", "2021-02-29")
+        .otherwise(F.col("date"))
+    )
     return sheet.withColumn("date", damaged)

@@ -385,17 +385,20 @@ shares AS (
       ON s.hospital = v.hospital AND s.weekday = dayname(v.date)
     JOIN staff w ON w.ssn = s.worker WHERE v.patient = {PATIENT}""",
     "null_violations": """
-    SELECT c AS "column", CASE WHEN c IN ('name', 'phone') THEN n ELSE 0 END AS violations
+    SELECT c AS "column", CASE c WHEN 'name' THEN others WHEN 'phone' THEN unvaccinated ELSE 0 END AS violations
     FROM (VALUES ('ssn'), ('name'), ('birthday'), ('phone'), ('role'), ('vacc_status'), ('hospital')) AS t(c),
-         (SELECT count(*) AS n FROM staff WHERE ssn % 10 = 0)""",
+         (SELECT count(*) FILTER (role = 'other') AS others, count(*) FILTER (NOT vacc_status) AS unvaccinated
+          FROM staff)""",
     "key_violations": """
     SELECT batch, dep_hos, arr_hos, dep_date, arr_date, count(*) AS n
     FROM transport_log GROUP BY ALL HAVING count(*) > 1""",
-    "fk_violations": "SELECT hospital, count(*) AS n FROM staff WHERE hospital >= 8 GROUP BY hospital",
+    "fk_violations": """
+    SELECT worker, count(*) AS n FROM vaccination_shift
+    WHERE worker NOT IN (SELECT ssn FROM staff WHERE vacc_status) GROUP BY worker""",
     "check_violations": """
     SELECT *, 'num_of_vacc > 15' AS failed FROM batch WHERE num_of_vacc <= 15
     UNION ALL
-    SELECT *, 'length(vaccine_type) < hospital' AS failed FROM batch WHERE hospital <= 3""",
+    SELECT *, 'vaccine_type <> ''V05''' AS failed FROM batch WHERE vaccine_type = 'V05'""",
     "validate": VALIDATE,
     "ingest_vaccine_type": "SELECT * FROM vaccine_type",
     "ingest_manufacturer": "SELECT * FROM manufacturer",
@@ -414,11 +417,11 @@ shares AS (
     "ingest_patient": _clean("patient", *_text("ssn"), "name", "birthday", "gender"),
     "ingest_vaccine_patient": _clean("vaccine_patient", *_text("patient", "hospital"), "date"),
     "ingest_symptoms": "SELECT * FROM symptoms",
-    "ingest_diagnosis": _clean("diagnosis", *_text("patient"), "symptom", "date") + " WHERE patient % 10 > 1",
+    "ingest_diagnosis": _clean("diagnosis", *_text("patient"), "symptom", "date") + " WHERE symptom NOT IN ('S1', 'S2')",
     "rejected_diagnosis": """
     SELECT CAST(patient AS VARCHAR) AS patient, symptom,
-           CASE patient % 10 WHEN 0 THEN 'not a date' ELSE '2021-02-29' END AS date, 'date' AS bad_columns
-    FROM diagnosis WHERE patient % 10 <= 1""",
+           CASE symptom WHEN 'S1' THEN 'not a date' ELSE '2021-02-29' END AS date, 'date' AS bad_columns
+    FROM diagnosis WHERE symptom IN ('S1', 'S2')""",
 }
 
 EXTRA = {
