@@ -1,0 +1,90 @@
+import random
+
+import xxhash
+from pyspark.sql import functions as F
+
+from dosewise.llm import simhash
+
+
+def brute(texts, shingle=3):
+    def one(text):
+        words = (text or "").encode().lower().split()
+        if not words:
+            return 0
+        parts = [b" ".join(words[i : i + shingle]) for i in range(max(1, len(words) - shingle + 1))]
+        hashes = [xxhash.xxh64_intdigest(p, 42) for p in parts]
+        return sum(1 << b for b in range(64) if 2 * sum(h >> b & 1 for h in hashes) > len(hashes))
+
+    return {i: one(t) for i, t in texts.items()}
+
+
+def closure(prints, max_bits=2):
+    root = {i: i for i in prints}
+
+    def find(i):
+        while root[i] != i:
+            i = root[i]
+        return i
+
+    ids = sorted(prints)
+    for a in ids:
+        for b in ids:
+            if a < b and (prints[a] ^ prints[b]).bit_count() <= max_bits:
+                x, y = sorted((find(a), find(b)))
+                root[y] = x
+    return {i: find(i) for i in ids}
+
+
+def frame(spark, texts):
+    return spark.createDataFrame(list(texts.items()), "doc_id bigint, text string")
+
+
+def test_against_brute_force(spark):
+    rng = random.Random(1)
+    words = ["Alpha", "beta", "gAmma", "délta", "x", "y z", "ſ", "K"]
+    texts = {i: " ".join(rng.choices(words, k=rng.randint(0, 9))) for i in range(120)}
+    base = rng.choices([f"w{k}" for k in range(500)], k=400)
+    for i in range(120, 160):
+        texts[i] = "\t".join([*base[: i % 7], "edit", *base[i % 7 :]])
+    texts |= {200: None, 201: "", 202: " \n\x0b", 203: "a b", 204: "w " * 30000, 205: texts[130]}
+    prints = brute(texts)
+    found = simhash.near_duplicates(frame(spark, texts)).withColumn("fingerprint", simhash.hex_fingerprint(F.col("fingerprint")))
+    got = {r.doc_id: (r.fingerprint, r.component_id) for r in found.collect()}
+    roots = closure(prints)
+    assert got == {i: (f"{prints[i]:016x}", roots[i]) for i in texts}
+
+
+def test_long_lists_lose_no_link(spark):
+    rng = random.Random(2)
+    prints = {}
+    for centre in (0, rng.getrandbits(64), rng.getrandbits(64)):
+        for _ in range(60):
+            flips = rng.sample(range(64), rng.randint(0, 5))
+            prints[len(prints)] = centre ^ sum(1 << b for b in flips)
+    signed = [(p - (1 << 64) if p >> 63 else p,) for p in set(prints.values())]
+    classes = spark.createDataFrame(signed, "fingerprint bigint")
+    expected = closure({p: p for p in set(prints.values())})
+    for limit in (1, 8, 10**6):
+        pairs = [(r.u % (1 << 64), r.v % (1 << 64)) for r in simhash.links(classes, list_limit=limit).collect()]
+        root = {p: p for p in expected}
+
+        def find(p):
+            while root[p] != p:
+                p = root[p]
+            return p
+
+        for u, v in pairs:
+            x, y = sorted((find(u), find(v)))
+            root[y] = x
+        assert {p: find(p) for p in root} == expected
+
+
+def test_empty_nulls_repeats_and_extra_columns(spark):
+    assert simhash.near_duplicates(frame(spark, {})).count() == 0
+    rows = [(1, "a b c d", "k"), (1, "a b c d", "k"), (None, "a b c d", None), (None, "other words here", None)]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string, component_id string")
+    got = simhash.near_duplicates(docs).collect()
+    assert sorted((r.doc_id or -1, r.component_id or -1) for r in got) == [(-1, -1), (-1, 1), (1, 1), (1, 1)]
+    kept = simhash.keep_one(docs)
+    assert kept.columns == docs.columns
+    assert sorted((r.doc_id or -1) for r in kept.collect()) == [-1, 1]
