@@ -6,17 +6,25 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from dosewise.llm import simhash
+from dosewise.llm import quality, simhash
 from dosewise.llm.tables import stored
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
 
+def good_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
+    return quality.select(docs, quality.train(docs, labels))
+
+
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return simhash.keep_one(docs)
 
 
-STAGES: list[tuple[str, Stage]] = [("simhash_near_dedup", near_dedup)]
+STAGES: list[tuple[str, Stage]] = [
+    ("quality_classifier", good_quality),
+    ("simhash_near_dedup", near_dedup),
+]
 
 # Trained weights, fingerprints and packing have no SQL; the tests hold stages against brute force.
 ORACLE_SQL = None

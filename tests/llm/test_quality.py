@@ -1,0 +1,92 @@
+import math
+import random
+
+import numpy as np
+import pyarrow as pa
+import pytest
+
+from dosewise.llm import quality
+from dosewise.llm.batches import text_slices
+from dosewise.llm.terms import SHAPES, bucket, grams, shape, words_within
+
+
+def corpus(n, seed=0):
+    """Grade 2: prose; grade 1: prose with signs; grade 0: one word repeated."""
+    rng = random.Random(seed)
+    rows = []
+    for i in range(n):
+        words = rng.choices(["rain", "falls", "over", "quiet", "fields", "and", "hills", "again", "softly"], k=rng.randint(20, 60))
+        grade = i % 3
+        if grade == 0:
+            words = [words[0]] * len(words)
+        elif grade == 1:
+            words = [w + "###" if rng.random() < 0.5 else w for w in words]
+        rows.append((i, " ".join(words), float(grade)))
+    return rows
+
+
+def frames(spark, rows):
+    docs = spark.createDataFrame([r[:2] for r in rows], "doc_id bigint, text string")
+    return docs, spark.createDataFrame([(r[0], r[2]) for r in rows], "doc_id bigint, quality double")
+
+
+def test_grades_are_ordered_and_learnt(spark):
+    docs, labels = frames(spark, corpus(240))
+    model = quality.train(docs, labels)
+    assert list(model.grades) == [0, 1, 2] and model.thresholds[0] < model.thresholds[1]
+    held = corpus(90, seed=9)
+    got = {r.doc_id: r for r in quality.rate(frames(spark, held)[0], model, good=1.0).collect()}
+    # Ordered: nearly every document of a better grade is expected to be better.
+    ordered = [got[i].expected_grade < got[j].expected_grade for i, _, g in held for j, _, h in held if g < h]
+    assert sum(ordered) >= 0.97 * len(ordered)
+    right = sum(round(got[i].expected_grade) == g for i, _, g in held)
+    assert right >= 0.8 * len(held), right
+    assert all(0 <= r.tail_probability <= 1 and 0 <= r.expected_grade <= 2 for r in got.values())
+    kept = {r.doc_id for r in quality.select(frames(spark, held)[0], model, good=1.0, tail=0.5).collect()}
+    assert kept == {i for i in got if got[i].tail_probability >= 0.5}
+
+
+def test_sample_is_bounded_and_repeatable(spark):
+    docs, labels = frames(spark, corpus(60))
+    docs, labels = docs.union(docs), labels.union(labels)
+    rows = quality.training_sample(docs, labels, "quality", 5)
+    assert sorted(r.grade for r in rows) == [0.0] * 5 + [1.0] * 5 + [2.0] * 5
+    again = quality.training_sample(docs.repartition(7), labels.repartition(3), "quality", 5)
+    assert np.array_equal(quality.fit(rows, 20).weights, quality.fit(again, 20).weights)
+    many = spark.range(30).selectExpr("id as doc_id", "double(id) as quality")
+    with pytest.raises(ValueError):
+        quality.training_sample(docs, many, "quality", 5)
+
+
+def test_edges(spark):
+    docs, labels = frames(spark, corpus(60))
+    model = quality.train(docs, labels)
+    rows = [(None, None, "a"), (1, "", "b"), (1, "", "b"), (2, "long words " * 20000, "c"), (3, "ab", None)]
+    odd = spark.createDataFrame(rows, "doc_id bigint, text string, expected_grade string")
+    rated = quality.rate(odd, model).collect()
+    assert len(rated) == 5 and not any(math.isnan(r.expected_grade) for r in rated)
+    assert rated[0].expected_grade == rated[1].expected_grade == rated[2].expected_grade
+    assert quality.select(odd, model, tail=0.0).columns == odd.columns
+    assert quality.select(odd, model, tail=0.0).count() == 5
+    empty = odd.limit(0)
+    assert quality.rate(empty, model).count() == 0
+    # Nothing to learn from: nothing is rejected.
+    blank = quality.train(docs, labels.limit(0))
+    assert quality.select(odd, blank).count() == 5
+    single = quality.train(docs, labels.where("quality = 2"))
+    assert {r.expected_grade for r in quality.rate(odd, single).collect()} == {2.0}
+
+
+def test_terms_respect_text_bounds():
+    texts = ["ab cd", "", None, "cd cd", "é", "x" * 50]
+    (part,) = text_slices(pa.array(texts, pa.string()))
+    starts, ends = words_within(part, ~np.isin(part.data, [32]))
+    assert [bytes(part.data[a:b]).decode() for a, b in zip(starts, ends)] == ["ab", "cd", "cd", "cd", "é", "x" * 50]
+    bins, inside = grams(part, 4, 15)
+    assert inside.sum() == 2 + 2 + 47
+    forms = shape(part)
+    assert forms.shape == (6, SHAPES)
+    assert forms[0, 4] == 0 and forms[3, 4] == 0.5 and forms[1, 8] == 1 and forms[2, 8] == 1
+    alone = np.concatenate([shape(p) for t in texts for p in text_slices(pa.array([t], pa.string()))])
+    assert np.allclose(forms, alone)
+    assert bucket(np.arange(10**4, dtype=np.uint64), 15).max() < 1 << 15
