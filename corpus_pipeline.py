@@ -5,8 +5,9 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from dosewise.llm import quality, simhash
+from dosewise.llm import lines, quality, simhash
 from dosewise.llm.tables import stored
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
@@ -17,12 +18,17 @@ def good_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
     return quality.select(docs, quality.train(docs, labels))
 
 
+def without_copied_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    return lines.dedup(docs).withColumn("n_chars", F.coalesce(F.length("text").cast("bigint"), "n_chars"))
+
+
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return simhash.keep_one(docs)
 
 
 STAGES: list[tuple[str, Stage]] = [
     ("quality_classifier", good_quality),
+    ("line_dedup", without_copied_lines),
     ("simhash_near_dedup", near_dedup),
 ]
 

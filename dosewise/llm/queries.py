@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from dosewise.llm import quality, simhash
+from dosewise.llm import lines, quality, simhash
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -19,6 +19,10 @@ def op1_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", simhash.hex_fingerprint(found.fingerprint).alias("fingerprint"), "component_id")
 
 
+def op7_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lines.dedup(_table(spark, sf_dir, "documents")).select("doc_id", "text")
+
+
 def op8_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents")
     model = quality.train(docs, _table(spark, sf_dir, "labels"))
@@ -28,7 +32,33 @@ def op8_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_simhash_near_dedup": op1_simhash_near_dedup,
+    "op7_line_dedup": op7_line_dedup,
     "op8_quality_classifier": op8_quality_classifier,
 }
 
-ORACLES: dict[str, str] = {}
+# Every run of at most 25 lines with just enough characters, as text, and its first place.
+OP7_SQL = f"""
+with doc as (
+    select doc_id, text, string_split(text, chr(10)) as ls from documents
+), run as (
+    select doc_id, s, m, list_aggregate(list_transform(ls[s:s + m - 1], lambda x: length(x) + 1), 'sum') as size,
+        length(ls[s]) + 1 as head, length(ls[s + m - 1]) + 1 as tail, array_to_string(ls[s:s + m - 1], chr(10)) as body
+    from (select doc_id, ls, unnest(range(1, len(ls) + 1)) as s from doc), range(1, {lines.MIN_CHARS} + 1) as sizes(m)
+    where s + m - 1 <= len(ls)
+), placed as (
+    select *, first_value(doc_id) over w as first_doc, first_value(s) over w as first_s
+    from run where size >= {lines.MIN_CHARS} and (size - head < {lines.MIN_CHARS} or size - tail < {lines.MIN_CHARS})
+    window w as (partition by body, m order by doc_id, s)
+), gone as (
+    select doc_id, list(distinct line) as lines
+    from (
+        select doc_id, unnest(range(s, s + m)) as line from placed where first_doc < doc_id or first_doc = doc_id and first_s < s
+    ) group by doc_id
+)
+select doc.doc_id, case when gone.lines is null then text else
+    array_to_string(list_filter(ls, lambda x, i: not list_contains(gone.lines, i)), chr(10)) end as text
+from doc left join gone using (doc_id)
+where gone.lines is null or len(gone.lines) < len(ls)
+"""
+
+ORACLES: dict[str, str] = {"op7_line_dedup": OP7_SQL}
