@@ -1,0 +1,116 @@
+import random
+
+import numpy as np
+import pyarrow as pa
+
+from dosewise.llm import decontaminate as d
+from dosewise.llm.batches import text_slices
+
+
+def folded(text):
+    out = []
+    for c in text:
+        c = c.lower() if c.isascii() else c
+        c = " " if c in "\t\n\x0b\x0c\r" else c
+        if not (c == " " and out and out[-1] == " "):
+            out.append(c)
+    return "".join(out)
+
+
+def least_edits(piece, text):
+    row = [0] * (len(text) + 1)
+    for c in piece:
+        before, row[0] = row[0], row[0] + 1
+        for i, t in enumerate(text):
+            before, row[i + 1] = row[i + 1], min(before + (c != t), row[i] + 1, row[i + 1] + 1)
+    return min(row)
+
+
+def brute(docs, items):
+    found = set()
+    for item, passage in items.items():
+        whole = folded(passage or "").strip(" ")
+        if len(whole) < d.LEAST:
+            continue
+        for a, b in d.pieces_of(len(whole), d.PIECE):
+            budget = min(int(d.RATE * (b - a)), max((b - a - d.Q) // d.Q, 0))
+            found |= {(i, item) for i, t in docs.items() if t and least_edits(whole[a:b], folded(t)) <= budget}
+    return found
+
+
+def edited(rng, text, n):
+    chars = list(text)
+    for _ in range(n):
+        at = rng.randrange(len(chars))
+        chars[at : at + rng.choice([0, 1])] = rng.choice(["x", "", "é"])
+    return "".join(chars)
+
+
+def sample(rng, n):
+    words = ["the", "ofré", "and", "inter", "nation", "eau", "Über", "st"]
+    return " ".join(rng.choices(words, k=n))
+
+
+def test_against_brute_force(spark):
+    rng = random.Random(5)
+    items = {i: sample(rng, rng.choice([9, 20, 40])) for i in range(5)} | {5: None, 6: "", 7: "short"}
+    docs = {}
+    for i in range(40):
+        passage = items[i % 5]
+        copy = edited(rng, passage, rng.choice([0, 2, 4, 8, 14]))
+        if i % 3 == 0:
+            copy = copy[: len(copy) * 2 // 3].upper().replace(" ", " \n ")
+        docs[i] = f"{sample(rng, rng.randint(0, 12))}\n{copy} {sample(rng, rng.randint(0, 12))}"
+    docs |= {90: None, 91: "", 92: sample(rng, 60)}
+    table = spark.createDataFrame(list(docs.items()), "doc_id bigint, text string")
+    bench = spark.createDataFrame(list(items.items()), "item_id bigint, text string")
+    expected = brute(docs, items)
+    assert 10 < len(expected) < 180
+    for block in (1 << 20, 300):
+        rows = d.leaks(table, bench, block).collect()
+        assert {(r.doc_id, r.item_id) for r in rows} == expected
+    for r in rows:
+        assert 0 <= r.start < r.end <= len(docs[r.doc_id])
+    kept = {r.doc_id for r in d.without_leaks(table, bench, 300).collect()}
+    assert kept == set(docs) - {i for i, _ in expected}
+
+
+def test_spans_of_exact_copies(spark):
+    passage = "Ein Satz über die Prüfung, der sonst nirgends steht und lang genug ist."
+    table = spark.createDataFrame([(1, f"àé {passage} x"), (2, passage), (3, passage + " " + passage)], "doc_id bigint, text string")
+    bench = spark.createDataFrame([(9, f"  {passage}\n"), (9, f"  {passage}\n")], "item_id bigint, text string")
+    got = sorted((r.doc_id, r.start, r.end, r.edits) for r in d.leaks(table, bench).collect())
+    n = len(passage)
+    assert got == [(1, 3, 3 + n, 0), (2, 0, n, 0), (3, 0, n, 0), (3, n + 1, 2 * n + 1, 0)]
+
+
+def test_banded_alignment_alone():
+    rng = np.random.default_rng(6)
+    for _ in range(30):
+        piece = rng.integers(0, 4, 20).astype(np.uint32)
+        text = rng.integers(0, 4, 30).astype(np.uint32)
+        width = 60
+        row = np.full(20 + width, d.NOWHERE, np.uint32)
+        row[20:50] = text
+        edits, _ = d.banded(row[None], piece[None], np.array([20]), width)
+        assert edits[0] == least_edits(list(piece), list(text))
+
+
+def test_empty_repeats_and_extra_columns(spark):
+    passage = "a passage that is certainly long enough to be evidence of a leak"
+    rows = [(None, passage, "x"), (1, passage, "y"), (1, passage, "y"), (2, "word " * 40000, None), (3, None, None)]
+    table = spark.createDataFrame(rows, "doc_id bigint, text string, item_id string")
+    bench = spark.createDataFrame([(4, passage), (None, passage)], "item_id bigint, text string")
+    assert sorted((r.doc_id or -1, r.item_id) for r in d.leaks(table, bench).collect()) == [(-1, 4), (1, 4), (1, 4)]
+    clean = d.without_leaks(table, bench)
+    assert clean.columns == table.columns and sorted(r.doc_id for r in clean.collect()) == [2, 3]
+    assert d.without_leaks(table, bench.limit(0)).count() == 5
+    assert d.leaks(table.limit(0), bench).count() == 0
+
+
+def test_folding_keeps_text_bounds():
+    (part,) = text_slices(pa.array(["A  b", " ", None, "é\n\nÉ"], pa.string()))
+    f = d.fold(part)
+    texts = ["".join(map(chr, f.chars[a:b])) for a, b in zip(f.starts, f.ends)]
+    assert texts == ["a b", " ", "", "é É"]
+    assert f.places.tolist() == [0, 1, 3, 0, 0, 1, 3]
