@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from dosewise.llm import decontaminate, lines, quality, simhash
+from dosewise.llm import decontaminate, lines, packing, quality, simhash
 from dosewise.llm.tables import stored
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
@@ -30,11 +30,20 @@ def without_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
     return decontaminate.without_leaks(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
 
 
+def without_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    return decontaminate.without_leaks(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
+
+
+def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    return packing.pack(docs).drop("text_h")
+
+
 STAGES: list[tuple[str, Stage]] = [
     ("quality_classifier", good_quality),
     ("line_dedup", without_copied_lines),
     ("simhash_near_dedup", near_dedup),
     ("benchmark_decontamination", without_benchmark),
+    ("best_fit_packing", packed),
 ]
 
 # Trained weights, fingerprints and packing have no SQL; the tests hold stages against brute force.
@@ -44,10 +53,6 @@ ORACLE_SQL = None
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every stage over all that the stage before it kept, each result written and read again."""
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
-    for name, stage in def without_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return decontaminate.without_leaks(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
-
-
-STAGES:
+    for name, stage in STAGES:
         docs = stored(stage(spark, docs, sf_dir), name)
     return docs
