@@ -75,7 +75,7 @@ def test_plan_covers_every_rank_once_and_packs_tightly():
                 filled[int(s)] += k
         assert max(seen.values()) == 1 and max(filled.values()) <= 256
         least = max(-(-sum(k * n for k, n in histogram.items()) // 256), sum(n for k, n in histogram.items() if k > 128))
-        assert len(filled) == made.n_sequences <= 1.02 * least + 1
+        assert len(filled) == made.n_sequences <= 1.025 * least + 1
     assert len(made.keys) < 5000  # whatever the number of pieces
 
 
