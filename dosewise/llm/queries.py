@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from dosewise.llm import decontaminate, lines, packing, quality, simhash
+from dosewise.llm import decontaminate, lines, packing, quality, simhash, urls
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -39,12 +39,46 @@ def op8_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rated.withColumn("selected", (F.col("tail_probability") >= quality.TAIL).cast("int"))
 
 
+# The rules, and the small labelled table.
+URL_RULES = [
+    ("allow", "org/"), ("block", "example.org/es/"), ("block", "example.org/en/1"),
+    ("allow", "com/fr/"), ("block", "com/de/"),
+]
+LABELLED_URLS = [
+    *[(url, 1) for url in (
+        "http://casino-win.example.com/en/12", "https://www.casino-royal.example.net/play", "http://bestcasino.example.org/fr/8",
+        "https://free-bets.example.com/en/55", "http://m.sport-bets.example.net/de/31", "https://bets-online.example.org/es/7/",
+        "http://cheap-pills.example.com/de/66", "https://www.pills-shop.example.net/en/4.html", "http://blog.diet-pills.example.org/fr/2",
+        "http://spam-farm.example.com/en/91", "https://link-farm.example.net/es/17", "http://m.spam-mail.example.org/de/5",
+        "http://ads-track.example.com/en/3", "https://www.ads-server.example.net/fr/20/", "http://track-click.example.org/en/44",
+        "http://adult-x.example.com/en/6", "https://m.adult-chat.example.net/es/11", "http://blog.x-adult.example.org/fr/73",
+    )],
+    *[(url, 0) for url in (
+        "http://news.example.com/en/12", "https://www.city-library.example.net/en/55", "http://blog.travel.example.org/fr/8",
+        "https://recipes.example.com/en/66", "http://m.weather.example.net/de/31", "https://the-museum.example.org/es/7/",
+        "http://science.example.com/de/4", "https://www.school.example.net/en/91.html", "http://blog.garden.example.org/fr/2",
+        "http://thother.example.com/en/17", "https://therand.example.net/es/3", "http://m.thtion.example.org/de/5",
+        "http://tionher.example.com/en/20", "https://www.nation.example.net/fr/44/", "http://history.example.org/en/6",
+        "http://music-room.example.com/en/11", "https://m.books.example.net/es/73", "http://blog.thenth.example.org/fr/1",
+    )],
+]
+
+_LABELLED_SQL = ", ".join(f"('{url}', {block})" for url, block in LABELLED_URLS)
+
+
+def op9_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    model = urls.train(spark.sql(f"select * from values {_LABELLED_SQL} as v(url, block)"))
+    judged = urls.judge(_table(spark, sf_dir, "pages").select("page_id", "url"), URL_RULES, model)
+    return judged.select("page_id", "host", "path", "rule", "verdict")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_simhash_near_dedup": op1_simhash_near_dedup,
     "op2_best_fit_packing": op2_best_fit_packing,
     "op5_benchmark_decontamination": op5_benchmark_decontamination,
     "op7_line_dedup": op7_line_dedup,
     "op8_quality_classifier": op8_quality_classifier,
+    "op9_url_filters": op9_url_filters,
 }
 
 # Every run of at most 25 lines with just enough characters, as text, and its first place.
@@ -72,4 +106,68 @@ from doc left join gone using (doc_id)
 where gone.lines is null or len(gone.lines) < len(ls)
 """
 
-ORACLES: dict[str, str] = {"op7_line_dedup": OP7_SQL}
+_HOST_SQL = "regexp_extract(rest, '^[^/?#]*')"
+_REST_SQL = "case when strpos(url, '://') > 0 then substr(url, strpos(url, '://') + 3) else '' end"
+
+
+def _grams_sql(text: str, kind: int) -> str:
+    value = str(kind)
+    for n in range(urls.GRAM):
+        value = f"(({value}) * {urls.BASE} + unicode(substr({text}, i::int + {n}, 1))) % {urls.BINS}"
+    return f"list_transform(range(1, length({text}) - {urls.GRAM - 2}), lambda i: {value})"
+
+
+_GRAMS_SQL = f"list_concat({_grams_sql("('^' || host || '$')", 1)}, {_grams_sql('path', 2)})"
+_FITS_SQL = "(host = r_host or ends_with(host, '.' || r_host)) and starts_with(path, r_path)"
+_RULES_SQL = ", ".join(
+    f"('{verdict}', '{rule}', '{rule.partition('/')[0]}', '/{rule.partition('/')[2]}')" for verdict, rule in URL_RULES
+)
+
+OP9_SQL = f"""
+with recursive sample as (
+    select row_number() over (order by url, block) as id, block::double as y, {_GRAMS_SQL} as grams
+    from (
+        select url, block, translate({_HOST_SQL}, '{urls.UPPER}', '{urls.LOWER}') as host, regexp_extract(rest, '^[^/?#]*([^?#]*)', 1) as path
+        from (select url, block, {_REST_SQL} as rest from (values {_LABELLED_SQL}) as v(url, block))
+    )
+), vector as (
+    select id, bin, count(*) / sqrt(any_value(n)::double) as x
+    from (select id, len(grams) as n, unnest(grams) as bin from sample) group by id, bin
+), product as (
+    select a.id, b.id as other, (select coalesce(sum(v.x * w.x), 0) from vector v join vector w using (bin) where v.id = a.id and w.id = b.id) + 1 as k
+    from sample a, sample b
+), problem as (
+    select list(y order by id) as ys, list(ks order by id) as kss
+    from (select sample.id, any_value(y) as y, list(k order by other) as ks from sample join product using (id) group by sample.id)
+), descent as (
+    select 0 as step, list_transform(ys, lambda y: 0::double) as alphas from problem
+    union all
+    select step + 1, list_transform(range(1, len(ys) + 1), lambda s:
+        alphas[s] * (1 - {urls.RATE} * {urls.DECAY}) + {urls.RATE} * (ys[s] - 1 / (1 + exp(-list_sum(
+            list_transform(range(1, len(ys) + 1), lambda t: alphas[t] * kss[s][t]))))))
+    from descent, problem where step < {urls.STEPS}
+), alpha as (
+    select unnest(range(1, len(alphas) + 1)) as id, unnest(alphas) as a from descent where step = {urls.STEPS}
+), weight as (
+    select bin, sum(a * x) as w from vector join alpha using (id) group by bin
+), page as (
+    select page_id, row_number() over () as row, translate({_HOST_SQL}, '{urls.UPPER}', '{urls.LOWER}') as host,
+        regexp_extract(rest, '^[^/?#]*([^?#]*)', 1) as path
+    from (select page_id, {_REST_SQL} as rest from pages)
+), scored as (
+    select row, sum(coalesce(w, 0)) / sqrt(any_value(n)::double) + (select sum(a) from alpha) as eta
+    from (select row, len(grams) as n, unnest(grams) as bin from (select row, {_GRAMS_SQL} as grams from page)) left join weight using (bin)
+    group by row
+), fit as (
+    select row, arg_max(verdict, length(rule)) as verdict, arg_max(rule, length(rule)) as rule
+    from page join (values {_RULES_SQL}) as r(verdict, rule, r_host, r_path) on {_FITS_SQL} group by row
+)
+select page_id, host, path, rule,
+    coalesce(verdict, case when coalesce(eta, (select sum(a) from alpha)) >= 0 then 'block' else 'allow' end) as verdict
+from page left join fit using (row) left join scored using (row)
+"""
+
+ORACLES: dict[str, str] = {
+    "op9_url_filters": OP9_SQL,
+    "op7_line_dedup": OP7_SQL,
+}
