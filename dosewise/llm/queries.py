@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from dosewise.llm import decontaminate, lines, packing, quality, simhash, urls
+from dosewise.llm import decontaminate, lines, packing, quality, secrets, simhash, urls
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -23,6 +23,13 @@ def op2_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(_table(spark, sf_dir, "documents")).drop("text_h")
 
 
+def op4_secret_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents")
+    found = secrets.scan(docs, secrets.train(secrets.labelled_samples(docs)))
+    digest = F.sha2("base", 256).alias("base_sha256")
+    return found.select("doc_id", "n_assign", "n_access", "n_hex", digest, "spans", "n_markov")
+
+
 def op5_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = decontaminate.leaks(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
     return found.drop("text_h")
@@ -75,6 +82,7 @@ def op9_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_simhash_near_dedup": op1_simhash_near_dedup,
     "op2_best_fit_packing": op2_best_fit_packing,
+    "op4_secret_scans": op4_secret_scans,
     "op5_benchmark_decontamination": op5_benchmark_decontamination,
     "op7_line_dedup": op7_line_dedup,
     "op8_quality_classifier": op8_quality_classifier,
