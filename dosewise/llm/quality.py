@@ -20,7 +20,7 @@ from dosewise.llm.terms import SHAPES, grams, shape
 
 GRAM = 4
 BITS = 15
-PER_GRADE = 2000  # labelled rows taken for each grade: the bound of the training sample
+PER_GRADE = 1000  # labelled rows taken for each grade: the bound of the training sample
 MOST_GRADES = 20
 SCALE = 30.0  # of gram shares
 FORM_SCALE = 10.0  # of form shares: few weights, each to be learnt fast
