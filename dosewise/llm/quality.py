@@ -26,7 +26,7 @@ SCALE = 30.0  # of gram shares
 FORM_SCALE = 10.0  # of form shares: few weights, each to be learnt fast
 ROUNDS = 150
 RIDGE = 1e-5
-TAIL = 0.3  # documents with a smaller probability of the better grades are rejected
+TAIL = 0.2  # documents with a smaller probability of the better grades are rejected
 
 
 @dataclass(frozen=True)

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from dosewise.llm import decontaminate, lines, packing, quality, secrets, simhash, urls
+from dosewise.llm import decontaminate, lines, packing, quality, secrets, simhash, toxicity, urls
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -79,6 +79,11 @@ def op9_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judged.select("page_id", "host", "path", "rule", "verdict")
 
 
+def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents")
+    return toxicity.score(docs, toxicity.train(docs, _table(spark, sf_dir, "labels"))).drop("text_h")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_simhash_near_dedup": op1_simhash_near_dedup,
     "op2_best_fit_packing": op2_best_fit_packing,
@@ -87,6 +92,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op7_line_dedup": op7_line_dedup,
     "op8_quality_classifier": op8_quality_classifier,
     "op9_url_filters": op9_url_filters,
+    "op10_toxicity": op10_toxicity,
 }
 
 # Every run of at most 25 lines with just enough characters, as text, and its first place.
