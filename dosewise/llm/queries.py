@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from dosewise.llm import decontaminate, lines, packing, quality, secrets, simhash, toxicity, urls
+from dosewise.llm import decontaminate, lines, neighbours, packing, quality, secrets, simhash, toxicity, urls
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -23,6 +23,10 @@ def op2_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(_table(spark, sf_dir, "documents")).drop("text_h")
 
 
+def op3_nearest_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return neighbours.search(_table(spark, sf_dir, "embeddings"), "vec_id % 20 = 0")
+
+
 def op4_secret_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents")
     found = secrets.scan(docs, secrets.train(secrets.labelled_samples(docs)))
@@ -87,6 +91,7 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_simhash_near_dedup": op1_simhash_near_dedup,
     "op2_best_fit_packing": op2_best_fit_packing,
+    "op3_nearest_neighbours": op3_nearest_neighbours,
     "op4_secret_scans": op4_secret_scans,
     "op5_benchmark_decontamination": op5_benchmark_decontamination,
     "op7_line_dedup": op7_line_dedup,

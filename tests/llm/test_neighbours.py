@@ -1,0 +1,99 @@
+import math
+
+import numpy as np
+import pytest
+
+from dosewise.llm import neighbours
+
+
+def brute(rows, k, divisor):
+    """Exact lists; rows are (id, vector)."""
+    size = max((len(v) for i, v in rows if i is not None and v is not None and good(v)), default=0)
+    usable = {(i, tuple(map(float, v))) for i, v in rows if i is not None and v is not None and good(v) and len(v) == size}
+    found = {}
+    for q, a in usable:
+        if q % divisor == 0:
+            scores = {}
+            for i, b in usable:
+                if i != q:
+                    scores[i] = max(scores.get(i, -math.inf), sum(x * y for x, y in zip(a, b)))
+            best = sorted(scores.items(), key=lambda s: (-s[1], s[0]))[:k]
+            found[q] = [(i, s) for i, s in best]
+    return found
+
+
+def good(v):
+    return v and all(x is not None and math.isfinite(x) for x in v) and any(v)
+
+
+def frame(spark, rows):
+    plain = [(i, v and [None if x is None else float(x) for x in v]) for i, v in rows]
+    return spark.createDataFrame(plain, "vec_id bigint, embedding array<float>")
+
+
+def lists(df):
+    found = {}
+    for r in df.orderBy("query_id", "rank").collect():
+        own = found.setdefault(r.query_id, [])
+        assert r["rank"] == len(own) + 1
+        own.append((r.vec_id, r.score))
+    return found
+
+
+def test_whole_window_is_exact(spark):
+    rng = np.random.default_rng(1)
+    rows = [(i, rng.integers(-3, 4, 5).astype(float).tolist()) for i in range(150)]  # many ties and copies
+    rows += [(i, [1.0, 2.0, 0.0, 1.0, 3.0]) for i in range(200, 260)]
+    rows += [(300, None), (301, []), (302, [0.0] * 5), (303, [1.0, None, 0, 0, 0]), (304, [math.nan] * 5),
+             (305, [math.inf, 0, 0, 0, 0]), (306, [1.0, 2.0]), (None, [1.0] * 5), rows[3], rows[3]]
+    for block in (16, 4096):
+        got = lists(neighbours.search(frame(spark, rows), "vec_id % 10 = 0", k=7, window=1.0, curves=2, block=block))
+        expected = brute(rows, 7, 10)
+        assert {q: [i for i, _ in v] for q, v in got.items()} == {q: [i for i, _ in v] for q, v in expected.items()}
+        for q in got:
+            assert [s for _, s in got[q]] == pytest.approx([s for _, s in expected[q]], rel=1e-12)
+
+
+def test_fewer_candidates_than_asked_for(spark):
+    rows = [(0, [1.0, 0.0]), (1, [0.0, 1.0]), (2, [-1.0, 0.0])]
+    assert lists(neighbours.search(frame(spark, rows), "vec_id = 0")) == {0: [(1, 0.0), (2, -1.0)]}
+    assert lists(neighbours.search(frame(spark, rows[:1]), "vec_id = 0")) == {}
+
+
+def test_recall_with_production_windows(spark):
+    rng = np.random.default_rng(2)
+    centres = rng.normal(size=(10, 32))
+    x = rng.normal(size=(3000, 32)) + 0.5 * centres[rng.integers(0, 10, 3000)]
+    x = (x / np.linalg.norm(x, axis=1, keepdims=True)).astype(np.float32)
+    got = lists(neighbours.search(frame(spark, list(enumerate(x.tolist()))), "vec_id % 20 = 0", block=64))
+    scores = x[::20].astype(float) @ x.astype(float).T
+    scores[np.arange(150), np.arange(0, 3000, 20)] = -np.inf
+    truth = {20 * q: set(np.argsort(-s)[:20].tolist()) for q, s in enumerate(scores)}
+    hits = sum(len(truth[q] & {i for i, _ in got[q]}) for q in truth)
+    assert set(got) == set(truth) and hits >= 0.9 * 20 * len(truth), hits
+
+
+def test_inner_product_not_angle(spark):
+    rng = np.random.default_rng(3)
+    x = rng.normal(size=(400, 8)) * rng.uniform(0.1, 10, (400, 1))
+    rows = list(enumerate(x.astype(np.float32).tolist()))
+    got, expected = lists(neighbours.search(frame(spark, rows), "vec_id % 20 = 0", k=10, block=16)), brute(rows, 10, 20)
+    hits = sum(len({i for i, _ in got[q]} & {i for i, _ in expected[q]}) for q in expected)
+    assert hits >= 0.9 * 10 * len(expected), hits
+
+
+def test_hilbert_visits_neighbours(spark):
+    for axes, bits in ((2, 4), (3, 3), (4, 2)):
+        grid = np.stack(np.meshgrid(*[np.arange(1 << bits)] * axes), axis=-1).reshape(-1, axes)
+        keys = neighbours.hilbert(grid, bits)
+        assert sorted(keys.tolist()) == list(range(len(grid)))
+        path = grid[np.argsort(keys)]
+        assert (np.abs(np.diff(path, axis=0)).sum(axis=1) == 1).all()
+
+
+def test_empty_and_extra_columns(spark):
+    schema = "vec_id bigint, embedding array<float>, score int, entry int"
+    empty = spark.createDataFrame([], schema)
+    assert neighbours.search(empty, "vec_id % 20 = 0").collect() == []
+    rows = [(0, [1.0, 1.0], 5, 5), (1, [1.0, 1.0], 5, 5), (2, [2.0, 1.0], 5, 5)]
+    assert lists(neighbours.search(spark.createDataFrame(rows, schema), "vec_id = 0")) == {0: [(2, 3.0), (1, 2.0)]}
