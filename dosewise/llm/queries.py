@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from dosewise.llm import decontaminate, lines, neighbours, packing, quality, secrets, simhash, toxicity, urls
+from dosewise.llm import decontaminate, lines, neighbours, packing, quality, repeats, secrets, simhash, toxicity, urls
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -39,6 +39,10 @@ def op5_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame
     return found.drop("text_h")
 
 
+def op6_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repeats.cut_repeats(_table(spark, sf_dir, "documents")).drop("text_h", "kept")
+
+
 def op7_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lines.dedup(_table(spark, sf_dir, "documents")).select("doc_id", "text")
 
@@ -94,6 +98,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_nearest_neighbours": op3_nearest_neighbours,
     "op4_secret_scans": op4_secret_scans,
     "op5_benchmark_decontamination": op5_benchmark_decontamination,
+    "op6_suffix_array_dedup": op6_suffix_array_dedup,
     "op7_line_dedup": op7_line_dedup,
     "op8_quality_classifier": op8_quality_classifier,
     "op9_url_filters": op9_url_filters,
