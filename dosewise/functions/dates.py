@@ -39,7 +39,8 @@ def age_years(birthday: Column, as_of: date | datetime, mode: str = "mean_year")
     """
     day = F.lit(as_of.date() if isinstance(as_of, datetime) else as_of)
     if mode == "calendar":
-        return F.floor(F.months_between(day, birthday, False) / 12).cast("int")
+        before_birthday = F.date_format(day, "MMdd") < F.date_format(birthday, "MMdd")
+        return F.year(day) - F.year(birthday) - before_birthday.cast("int")
     if mode != "mean_year":
         raise ValueError(f"unknown age mode {mode!r}")
     time_of_day = 0

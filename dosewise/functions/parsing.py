@@ -14,7 +14,7 @@ from pyspark.sql.types import (
     TimestampType,
 )
 
-def _timestamp(cell: Column, source: DataType) -> Column:
+def _timestamp(cell: Column, source: DataType, date_format: str | None) -> Column:
     if isinstance(source, (DateType, TimestampType, TimestampNTZType)):
         return cell.cast("timestamp_ntz")
     if not isinstance(source, StringType):
@@ -22,14 +22,16 @@ def _timestamp(cell: Column, source: DataType) -> Column:
     # A spreadsheet export writes yyyy-MM-dd, with or without a time. A plain cast would
     # also take '2021' and '2021-5' for dates.
     text = F.trim(cell)
+    if date_format is not None:
+        return F.try_to_timestamp(text, F.lit(date_format)).cast("timestamp_ntz")
     whole = (F.length(text) >= 10) & (F.substring(text, 5, 1) == "-") & (F.substring(text, 8, 1) == "-")
     return F.when(whole, text.try_cast("timestamp_ntz"))
 
 
-def _date(cell: Column, source: DataType) -> Column:
+def _date(cell: Column, source: DataType, date_format: str | None) -> Column:
     if isinstance(source, DateType):
         return cell
-    return _timestamp(cell, source).cast("date")
+    return _timestamp(cell, source, date_format).cast("date")
 
 
 def _bool(cell: Column, source: DataType) -> Column:
@@ -63,5 +65,7 @@ _PARSERS = {
 }
 
 
-def parse_cell(cell: Column, source: DataType, kind: str) -> Column:
+def parse_cell(cell: Column, source: DataType, kind: str, date_format: str | None = None) -> Column:
+    if kind in ("date", "timestamp"):
+        return _PARSERS[kind](cell, source, date_format)
     return _PARSERS[kind](cell, source)

@@ -42,23 +42,3 @@ def check_violations(df: DataFrame, checks: Sequence[str]) -> DataFrame:
     outcome passes, as in SQL."""
     failed = F.array_compact(F.array(*[F.when(~F.expr(c), F.lit(c)) for c in checks]))
     return df.select("*", F.explode(failed).alias("failed"))
-
-
-def row_rule_counts(
-    df: DataFrame,
-    columns: Sequence[str],
-    checks: Sequence[str],
-    zeros: Sequence[tuple[str, str]] = (),
-) -> DataFrame:
-    """``(rule, kind, violations)`` for NOT NULL and check rules in one scan, and a zero
-    row for each ``(kind, rule)`` of ``zeros``."""
-    rules = [("not null", c, F.col(c).isNull()) for c in columns]
-    rules += [("check", c, ~F.expr(c)) for c in checks]
-    counts = df.agg(*[F.count_if(broken).alias(f"r{i}") for i, (_, _, broken) in enumerate(rules)])
-    results = [(kind, rule, F.col(f"r{i}")) for i, (kind, rule, _) in enumerate(rules)]
-    results += [(kind, rule, F.lit(0).cast("bigint")) for kind, rule in zeros]
-    rows = [
-        F.struct(F.lit(rule).alias("rule"), F.lit(kind).alias("kind"), n.alias("violations"))
-        for kind, rule, n in results
-    ]
-    return counts.select(F.inline(F.array(*rows)))

@@ -112,13 +112,13 @@ def attribute_symptoms(t: Tables, ordered: bool = True) -> DataFrame:
 
     The join only brings in hospitals with an earlier dose, so it makes no more rows
     than the result has; the dose itself is found by one ordered pass per patient and
-    hospital. Reports are distinct by then, which bounds a patient by symptoms x days.
-    The join leaves the reports partitioned by patient; with the doses laid out alike,
-    that pass needs no shuffle of its own. Copies of a dose change nothing and go first.
+    hospital. Reports are distinct by then, which bounds such a pair by symptoms x days.
+    The pass shuffles by patient and hospital: the join by patient before it can then be
+    split for a patient with very many reports. Copies of a dose change nothing and go first.
     """
     given = t["vaccine_patient"].distinct()
     doses = dose_products(t.replaced(vaccine_patient=given))
-    doses = doses.withColumnRenamed("date", "vacc_date").repartition("patient")
+    doses = doses.withColumnRenamed("date", "vacc_date")
     first = t["vaccine_patient"].groupBy("patient", "hospital").agg(F.min("date").alias("first_date"))
     reports = (
         t["diagnosis"].select("patient", "symptom", F.col("date").alias("symptom_date")).distinct()
@@ -157,9 +157,10 @@ def symptom_labels(t: Tables, types: Sequence[str] | None = None) -> DataFrame:
 def event_participation(t: Tables, ordered: bool = True) -> DataFrame:
     """Patients per event against the size of its batch, in percent.
 
-    Doses are counted per event before the lookup. Events nobody came to are absent.
+    Doses are counted per event before the lookup. Events nobody came to are absent; a dose
+    without a patient adds nobody.
     """
-    attended = t["vaccine_patient"].groupBy("date", "hospital").agg(F.count("*").alias("num_patient"))
+    attended = t["vaccine_patient"].groupBy("date", "hospital").agg(F.count("patient").alias("num_patient"))
     rows = (
         event_products(t)
         .join(attended, ["date", "hospital"])
@@ -192,18 +193,18 @@ VACCINATED, TWO_VACCINES = "vaccinated", "two_vaccines"
 def cumulative_vaccinated(t: Tables) -> DataFrame:
     """Patients with at least one dose up to each date someone got their first."""
     first = t["vaccine_patient"].groupBy("patient").agg(F.min("date").alias("date"))
-    per_day = first.groupBy("date").agg(F.count("*").alias(VACCINATED))
+    per_day = first.groupBy("date").agg(F.count("patient").alias(VACCINATED))
     return running_total(per_day, "date", VACCINATED).orderBy("date")
 
 
 def _second_doses(t: Tables, at: str) -> DataFrame:
     if at == "last":
         shots = t["vaccine_patient"].groupBy("patient").agg(
-            F.count("*").alias("shots"), F.max("date").alias("date")
+            F.count("patient").alias("shots"), F.max("date").alias("date")
         )
         return shots.where("shots > 1").select("patient", "date")
     if at == "second":
-        doses = t["vaccine_patient"].select("patient", "date")
+        doses = t["vaccine_patient"].where(F.col("patient").isNotNull()).select("patient", "date")
         wide = first_n_wide(doses, "patient", ["date"], {"date": "date"}, 2)
         return wide.where(F.col("date2").isNotNull()).select("patient", F.col("date2").alias("date"))
     raise ValueError(f"at must be 'last' or 'second', not {at!r}")
@@ -212,7 +213,7 @@ def _second_doses(t: Tables, at: str) -> DataFrame:
 def cumulative_fully_vaccinated(t: Tables, at: str = "last") -> DataFrame:
     """Patients with two or more doses up to each date, dated at their last dose
     (``at='second'``: at their second)."""
-    per_day = _second_doses(t, at).groupBy("date").agg(F.count("*").alias(TWO_VACCINES))
+    per_day = _second_doses(t, at).groupBy("date").agg(F.count("patient").alias(TWO_VACCINES))
     return running_total(per_day, "date", TWO_VACCINES).orderBy("date")
 
 
@@ -222,7 +223,7 @@ def coverage_series(t: Tables) -> DataFrame:
     One pass over the doses gives both dates of every patient.
     """
     per_patient = t["vaccine_patient"].groupBy("patient").agg(
-        F.count("*").alias("shots"), F.min("date").alias("first"), F.max("date").alias("last")
+        F.count("patient").alias("shots"), F.min("date").alias("first"), F.max("date").alias("last")
     )
     steps = F.array(
         F.struct(F.lit(VACCINATED).alias("series"), F.col("first").alias("date")),
@@ -232,10 +233,10 @@ def coverage_series(t: Tables) -> DataFrame:
         ),
     )
     per_day = (
-        per_patient.select(F.inline(steps))
+        per_patient.select("patient", F.inline(steps))
         .where(F.col("date").isNotNull())
         .groupBy("date", "series")
-        .agg(F.count("*").alias("n"))
+        .agg(F.count("patient").alias("n"))
     )
     return running_total(per_day, "date", "n", per=["series"]).orderBy("series", "date")
 

@@ -89,6 +89,9 @@ def misplaced_batches(t: Tables) -> DataFrame:
     )
 
 
+EVENT_BUCKETS = 16
+
+
 def critical_exposure(
     t: Tables,
     after: Date = Date(2021, 5, 10),
@@ -103,7 +106,9 @@ def critical_exposure(
 
     Copies travel as a number. Diagnoses and doses are counted per patient before
     they meet, so no join sees a patient with many of both, and rows are written out
-    only at the end.
+    only at the end. By default a hospital's exposed patients all meet all its events;
+    events are dealt into buckets by date, and patients go to each, so that a hospital
+    with a third of the doses is that many tasks' work.
     """
     site = ["hospital", "date"] if exact_event else ["hospital"]
     critical = t["symptoms"].where("critical").select(F.col("name").alias("symptom"))
@@ -127,6 +132,12 @@ def critical_exposure(
         )
     )
     events = event_products(t).select("hospital", "date", F.col("batch").alias("id"), "vaccine_type")
+    if not exact_event:
+        bucket = F.pmod(F.xxhash64("date"), F.lit(EVENT_BUCKETS)).cast("int")
+        events = events.withColumn("_bucket", bucket)
+        every = F.explode(F.sequence(F.lit(0), F.lit(EVENT_BUCKETS - 1)))
+        exposed = exposed.withColumn("_bucket", every)
+        site = [*site, "_bucket"]
     order = ["ssn", "date", "hospital"] if ordered else []
     rows = repeat_rows(exposed.join(events, site), "n_copies", order)
     return rows.select("ssn", "name", "id", "vaccine_type", "date", "hospital")
@@ -219,4 +230,4 @@ def symptom_frequency(t: Tables) -> DataFrame:
 def create_views(t: Tables) -> None:
     """The tables and ``patient_status`` as session views."""
     t.create_views()
-    patient_status(t).createOrReplaceTempView("patient_status")
+    patient_status(t, ordered=False).createOrReplaceTempView("patient_status")

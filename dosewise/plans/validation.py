@@ -2,53 +2,101 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from functools import reduce
+from operator import and_
+
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from dosewise.operators.quality import fk_violations, key_violations, row_rule_counts
-from dosewise.sources.contracts import CONTRACTS, Contract
+from dosewise.sources.contracts import CONTRACTS, Contract, Reference
 from dosewise.sources.tables import Tables
 
+NOT_NULL, KEY, REFERENCE, CHECK = "not null", "primary key", "foreign key", "check"
 
-def _rows(violating: DataFrame, contract: Contract, rule: str, kind: str, refused: str) -> DataFrame:
-    return violating.select(
-        F.lit(contract.table).alias("table"),
-        F.lit(rule).alias("constraint"),
-        F.lit(kind).alias("kind"),
-        F.expr(refused).cast("bigint").alias("violations"),
-    )
+
+def _key_text(columns: tuple[str, ...] | list[str]) -> Column:
+    """A key as an array of texts, so that keys of all tables fit one column."""
+    return F.array(*[F.col(c).cast("string") for c in columns])
+
+
+def _own_order(ref: Reference) -> list[str]:
+    """The child's columns in the order of the parent's key."""
+    paired = dict(zip(ref.parent_columns, ref.columns))
+    if set(paired) != set(CONTRACTS[ref.parent].key):
+        raise ValueError(f"reference {ref.label} is not to the key of {ref.parent}")
+    return [paired[c] for c in CONTRACTS[ref.parent].key]
 
 
-def _table_parts(t: Tables, contract: Contract) -> list[DataFrame]:
-    df, key_rule = t[contract.table], ", ".join(contract.key)
-    references = [r for r in contract.references if r.parent in t]
-    # Rules found out by a shuffle report violations only, so their zero comes from here.
-    settled = [("primary key", key_rule)] + [("foreign key", r.label) for r in references]
-    counts = row_rule_counts(df, list(contract.columns), contract.row_checks, settled)
-    parts = [
-        counts.select(F.lit(contract.table).alias("table"), F.col("rule").alias("constraint"), "kind", "violations"),
-        _rows(key_violations(df, contract.key), contract, key_rule, "primary key", "n - 1"),
-    ]
-    for ref in references:
-        orphans = fk_violations(df, t[ref.parent], dict(zip(ref.columns, ref.parent_columns)))
-        parts.append(_rows(orphans, contract, ref.label, "foreign key", "n"))
-    return parts
+def _rules(t: Tables) -> list[tuple[Contract, str, str, Reference | None]]:
+    """``(contract, constraint, kind, reference)`` of every rule whose tables are given."""
+    rules: list[tuple[Contract, str, str, Reference | None]] = []
+    for contract in (CONTRACTS[name] for name in t):
+        rules += [(contract, c, NOT_NULL, None) for c in contract.columns]
+        rules += [(contract, c, CHECK, None) for c in contract.row_checks]
+        rules.append((contract, ", ".join(contract.key), KEY, None))
+        rules += [(contract, r.label, REFERENCE, r) for r in contract.references if r.parent in t]
+    return rules
 
 
-def _all_rows(parts: list[DataFrame]) -> DataFrame:
+def _findings(df: DataFrame, rules: list[tuple[int, Contract, str, str, Reference | None]]) -> DataFrame:
+    """``rule, place, key``: what each row has to say about the rules of its table.
+
+    Its key, the keys it refers to, and the rules it breaks by itself. ``place`` is the
+    table that a key belongs to: there a reference meets the key it points to.
+    """
+    nobody = F.lit(None).cast("array<string>")
+    found = []
+    for number, contract, name, kind, ref in rules:
+        said, place, key = F.lit(True), contract.table, nobody
+        if kind == NOT_NULL:
+            said = F.col(name).isNull()
+        elif kind == CHECK:
+            said = ~F.expr(name)
+        elif kind == KEY:
+            key = _key_text(contract.key)
+        else:
+            own = _own_order(ref)
+            said, place, key = reduce(and_, [F.col(c).isNotNull() for c in own]), ref.parent, _key_text(own)
+        row = F.struct(F.lit(number).alias("rule"), F.lit(place).alias("place"), key.alias("key"))
+        found.append(row if kind == KEY else F.when(said, row))
+    return df.select(F.inline(F.array_compact(F.array(*found))))
+
+
+def _together(parts: list[DataFrame]) -> DataFrame:
     # Pairing halves keeps the plan shallow: a chain is analysed anew at every link.
     if len(parts) == 1:
         return parts[0]
     middle = len(parts) // 2
-    return _all_rows(parts[:middle]).unionByName(_all_rows(parts[middle:]))
+    return _together(parts[:middle]).union(_together(parts[middle:]))
 
 
 def validate(t: Tables) -> DataFrame:
     """``(table, constraint, kind, violations)`` for every declared rule, zeros included.
 
-    One scan per table settles all its NOT NULL and check rules; a key or a reference
-    costs one pre-aggregated shuffle. The totals of all rules are added up in one last
-    aggregate. Rules whose tables are not given are left out.
+    One scan per table. Rows say their keys and references, which are counted before
+    they are shuffled: a key that half the rows point to sends a row per task. Equal keys
+    of one table then meet in a group with at most one row per rule, and a reference
+    without a key in its group is an orphan. Rules whose tables are not given are left out.
     """
-    parts = [part for name in t for part in _table_parts(t, CONTRACTS[name])]
-    return _all_rows(parts).groupBy("table", "constraint", "kind").agg(F.sum("violations").alias("violations"))
+    rules = _rules(t)
+    numbered = [(i, *rule) for i, rule in enumerate(rules)]
+    parts = [_findings(t[name], [r for r in numbered if r[1].table == name]) for name in t]
+    counted = _together(parts).groupBy("place", "key", "rule").agg(F.count("*").alias("n"))
+    keys = [i for i, (_, _, kind, _) in enumerate(rules) if kind == KEY]
+    references = [i for i, (_, _, kind, _) in enumerate(rules) if kind == REFERENCE]
+    met = counted.groupBy("place", "key").agg(
+        F.max(F.col("rule").isin(keys)).alias("known"), F.collect_list(F.struct("rule", "n")).alias("all"))
+    each = met.select("known", F.inline("all"))
+    refused = (
+        F.when(F.col("rule").isin(keys), F.col("n") - 1)
+        .when(F.col("rule").isin(references) & F.col("known"), 0)
+        .otherwise(F.col("n"))
+    )
+    totals = each.groupBy("rule").agg(F.sum(refused).alias("found"))
+    named = F.array(*[
+        F.struct(F.lit(i).alias("rule"), F.lit(c.table).alias("table"), F.lit(name).alias("constraint"), F.lit(kind).alias("kind"))
+        for i, (c, name, kind, _) in enumerate(rules)
+    ])
+    every = t[rules[0][0].table].sparkSession.range(1).select(F.inline(named))
+    report = every.join(totals, "rule", "left")
+    return report.select("table", "constraint", "kind", F.coalesce("found", F.lit(0)).cast("bigint").alias("violations"))

@@ -36,9 +36,9 @@ def _normalised(raw: DataFrame, contract: Contract) -> DataFrame:
     return df
 
 
-def _parsed(df: DataFrame, contract: Contract) -> dict[str, Column]:
+def _parsed(df: DataFrame, contract: Contract, date_format: str | None) -> dict[str, Column]:
     return {
-        name: parse_cell(F.col(f"`{name}`"), df.schema[name].dataType, kind)
+        name: parse_cell(F.col(f"`{name}`"), df.schema[name].dataType, kind, date_format)
         for name, kind in contract.columns.items()
     }
 
@@ -48,18 +48,22 @@ def _fits(parsed: dict[str, Column], contract: Contract) -> Column:
     return reduce(and_, typed, F.lit(True))
 
 
-def ingest(raw: DataFrame, contract: Contract, on_bad: str | None = None) -> DataFrame:
+def ingest(
+    raw: DataFrame, contract: Contract, on_bad: str | None = None, date_format: str | None = None
+) -> DataFrame:
     """The rows of ``raw`` as a contract table.
 
+    Text cells hold dates in ISO form, or in ``date_format`` (a Spark datetime pattern).
+
     ``on_bad='fail'`` stops the job on a cell that does not parse (a missing cell
     passes on to the validator); ``'drop'`` leaves out rows with such a cell, or
-    with none. The contract names the default.
+    with none; ``reject_counts`` says how many. The contract names the default.
     """
     policy = on_bad or contract.on_bad
     if policy not in POLICIES:
         raise ValueError(f"on_bad must be one of {POLICIES}, not {policy!r}")
     df = _normalised(raw, contract)
-    parsed = _parsed(df, contract)
+    parsed = _parsed(df, contract, date_format)
     if policy == "drop":
         return df.where(_fits(parsed, contract)).select(
             *[value.alias(name) for name, value in parsed.items()]
@@ -72,21 +76,33 @@ def ingest(raw: DataFrame, contract: Contract, on_bad: str | None = None) -> Dat
             message = F.concat(
                 F.lit(f"{contract.table}.{name}: cannot read as {kind}: "), cell.cast("string")
             )
-            value = F.when(
-                cell.isNotNull() & value.isNull(), F.raise_error(message).cast(contract.schema[name].dataType)
-            ).otherwise(value)
+            refused = F.raise_error(message).cast(contract.schema[name].dataType)
+            value = F.coalesce(value, F.when(cell.isNotNull(), refused))
         strict.append(value.alias(name))
     return df.select(*strict)
 
 
-def rejected_rows(raw: DataFrame, contract: Contract) -> DataFrame:
+def reject_counts(raw: DataFrame, contract: Contract, date_format: str | None = None) -> DataFrame:
+    """One row: ``n_rows`` of the sheet, ``n_rejected`` that ``on_bad='drop'`` leaves out, and
+    for each typed column ``bad_<column>``. One scan."""
+    df = _normalised(raw, contract)
+    parsed = _parsed(df, contract, date_format)
+    typed = [name for name, kind in contract.columns.items() if kind not in TEXT_KINDS]
+    return df.agg(
+        F.count("*").alias("n_rows"),
+        F.count_if(~_fits(parsed, contract)).alias("n_rejected"),
+        *[F.count_if(parsed[name].isNull()).alias(f"bad_{name}") for name in typed],
+    )
+
+
+def rejected_rows(raw: DataFrame, contract: Contract, date_format: str | None = None) -> DataFrame:
     """The rows ``ingest(..., on_bad='drop')`` leaves out, cells as they came.
 
     ``bad_columns`` names the cells at fault. Together the two results hold every
     input row exactly once.
     """
     df = _normalised(raw, contract)
-    parsed = _parsed(df, contract)
+    parsed = _parsed(df, contract, date_format)
     faults = F.array_compact(
         F.array(
             *[

@@ -1,7 +1,10 @@
 """The twelve tables, and their raw sheets, derived from TPC-H-like order tables.
 
-Each table is a fixed projection of whole source tables; it gives the jobs real
-volume and spread without data of the domain. Ids stay numbers.
+Hospitals are all suppliers, batches all parts, legs all line items, patients and staff
+all customers, doses all orders. Two tables stand for part of a source by its meaning:
+diagnoses are the returned line items, and events are the orders that are not pending,
+so that some doses have no event; every hospital also has an opening week nobody comes
+to. All tables grow with their sources. Ids stay numbers.
 """
 
 from __future__ import annotations
@@ -73,13 +76,16 @@ class _Sample:
         )
 
     def hospital(self) -> DataFrame:
-        supplier = self.source("supplier").where("s_suppkey < 10")
+        supplier = self.source("supplier")
         return supplier.join(self.source("nation"), F.col("s_nationkey") == F.col("n_nationkey")).select(
             F.col("s_suppkey").alias("name"),
             F.col("n_name").alias("address"),
             _prefixed("tel-", F.col("s_suppkey")).alias("phone"),
         )
 
+    def n_hospitals(self) -> Column:
+        return self.source("supplier").agg(F.count("*")).scalar()
+
     def batch(self) -> DataFrame:
         number = F.col("p_partkey")
         return self.source("part").select(
@@ -89,15 +95,15 @@ class _Sample:
             _prefixed("NATION_", number % 25).alias("manufacturer"),
             _day(Date(1994, 1, 1), number % 365).alias("prod_date"),
             _day(Date(2002, 1, 1), number % 365).alias("exp_date"),
-            (number % 10).alias("hospital"),
+            (number % self.n_hospitals()).alias("hospital"),
         )
 
     def transport_log(self) -> DataFrame:
         shipped = F.col("l_shipdate")
         return self.source("lineitem").select(
             F.col("l_partkey").alias("batch"),
-            ((F.col("l_suppkey") + 1) % 10).alias("dep_hos"),
-            (F.col("l_suppkey") % 10).alias("arr_hos"),
+            ((F.col("l_suppkey") + 1) % self.n_hospitals()).alias("dep_hos"),
+            F.col("l_suppkey").alias("arr_hos"),
             shipped.alias("dep_date"),
             (shipped + F.expr("interval 1 day")).alias("arr_date"),
         )
@@ -111,18 +117,23 @@ class _Sample:
             F.when(number % 2 == 0, "F").otherwise("M").alias("gender"),
         )
 
-    def vaccine_patient(self) -> DataFrame:
+    def _visit(self) -> tuple[Column, Column]:
         month = F.trunc("o_orderdate", "month")
-        orders = self.source("orders").where("o_orderpriority = '1-URGENT' and o_orderstatus = 'F'")
-        return orders.groupBy(
-            F.col("o_custkey").alias("patient"),
-            F.date_add(month, (F.col("o_orderkey") % 5).cast("int")).alias("date"),
-        ).agg(F.min(F.col("o_orderkey") % 10).alias("hospital"))
+        day = F.date_add(month, (F.col("o_orderkey") % 5).cast("int"))
+        return day.alias("date"), (F.col("o_orderkey") % self.n_hospitals()).alias("hospital")
+
+    def vaccine_patient(self) -> DataFrame:
+        visits = self.source("orders").select(F.col("o_custkey").alias("patient"), *self._visit())
+        return visits.groupBy("patient", "date").agg(F.min("hospital").alias("hospital"))
 
     def vaccination_event(self) -> DataFrame:
         day_number = F.datediff("date", F.lit(Date(1995, 1, 1)))
         n_batches = self.source("part").agg(F.count("*")).scalar()
-        events = self.tables["vaccine_patient"].select("date", "hospital").distinct()
+        held = self.source("orders").where("o_orderstatus <> 'P'").select(*self._visit())
+        # No order falls on the 7th to the 13th of a month.
+        week = F.explode(F.sequence(F.lit(Date(1998, 12, 7)), F.lit(Date(1998, 12, 13)))).alias("date")
+        opening = self.source("supplier").select(week, F.col("s_suppkey").alias("hospital"))
+        events = held.union(opening).distinct()
         return events.withColumn("batch", (day_number * 10 + F.col("hospital")) % n_batches)
 
     def _grade(self) -> Column:
@@ -131,7 +142,7 @@ class _Sample:
     def diagnosis(self) -> DataFrame:
         reported = (
             self.source("lineitem")
-            .where("l_returnflag = 'R' and l_linestatus = 'F'")
+            .where("l_returnflag = 'R'")
             .select("l_orderkey", "l_partkey", F.col("l_shipdate").cast("date").alias("date"))
         )
         orders = self.source("orders").select("o_orderkey", F.col("o_custkey").alias("patient"))
@@ -153,14 +164,14 @@ class _Sample:
     def staff(self) -> DataFrame:
         number = F.col("c_custkey")
         role = F.when(number % 3 == 0, "doctor").when(number % 3 == 1, "nurse").otherwise("other")
-        return self.source("customer").where("c_mktsegment = 'MACHINERY'").select(
+        return self.source("customer").select(
             number.alias("ssn"),
             F.col("c_name").alias("name"),
             _day(Date(1960, 1, 1), number % 14000).alias("birthday"),
             _prefixed("tel-", number).alias("phone"),
             role.alias("role"),
             (F.col("c_acctbal") > 0).alias("vacc_status"),
-            (number % 10).alias("hospital"),
+            (number % self.n_hospitals()).alias("hospital"),
         )
 
     def vaccination_shift(self) -> DataFrame:
@@ -175,14 +186,17 @@ def sample_tables(spark: SparkSession, sf_dir: str) -> Tables:
     return _Sample(spark, sf_dir).tables
 
 
-def as_sheet(df: DataFrame, table: str) -> DataFrame:
+def as_sheet(df: DataFrame, table: str, date_format: str | None = None) -> DataFrame:
     """A clean table the way its spreadsheet delivers it: sheet headers, every cell text,
-    flags as 0/1, stray blanks around headers where the sheet has them."""
+    flags as 0/1, stray blanks around headers where the sheet has them, dates in ISO or in
+    ``date_format``."""
     contract = CONTRACTS[table]
     headers = {column: header for header, column in contract.headers.items()}
     cells = []
     for column, kind in contract.columns.items():
         cell = F.col(column).cast("int") if kind == "bool" else F.col(column)
+        if date_format is not None and kind == "date":
+            cell = F.date_format(cell, date_format)
         header = headers.get(column, column)
         cells.append(cell.cast("string").alias(f" {header} " if contract.strip_headers else header))
     return df.select(*cells)

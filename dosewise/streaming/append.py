@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import posixpath
 import zlib
 
 from pyspark.sql import DataFrame
@@ -10,27 +11,48 @@ from pyspark.sql.streaming import StreamingQuery
 from dosewise.session import checkpoint_root
 from dosewise.sources.contracts import Contract
 from dosewise.sources.ingest import ingest
+from dosewise.sources.tables import write_table
+
+
+def normalised(path: str) -> str:
+    """One spelling for a path: no doubled, trailing or ``./`` parts; the scheme stays."""
+    scheme, mark, rest = path.rpartition("://")
+    return f"{scheme}{mark}{posixpath.normpath(rest)}"
 
 
 def append_stream(
-    raw: DataFrame, contract: Contract, path: str, on_bad: str | None = None
+    raw: DataFrame,
+    contract: Contract,
+    path: str,
+    on_bad: str | None = None,
+    checkpoint: str | None = None,
+    date_format: str | None = None,
 ) -> StreamingQuery:
     """Start the append of a streaming sheet to the table at ``path``.
 
-    The ingest holds no state, so the stream needs no watermark. Progress is kept
-    under the shared checkpoint folder: a restart, also after lost executors, goes on
-    where it stopped, and the file sink takes each input file exactly once. The query
+    Each micro-batch is an ordinary append that leaves out rows whose key the table has
+    already (``write_table(keys=...)``). So the table holds plain files that batch loads
+    and streams may write in any order, and no row depends on the progress log: a batch
+    that is replayed, a log that was lost or a second log for the same table cost a
+    second look at the files, and add nothing twice.
+
+    Progress is kept in ``checkpoint``, by default under the shared checkpoint folder by
+    table and normalised path; a restart, also after lost executors, goes on where it
+    stopped. The ingest holds no state, so the stream needs no watermark. The query
     handles what is there and ends; run it again, or on a schedule, for more.
     """
-    spark = raw.sparkSession
-    # Progress belongs to the target, so that two copies of a table each get every file.
-    target = zlib.crc32(path.encode())
+    target = normalised(path)
+    if checkpoint is None:
+        number = zlib.crc32(target.encode())
+        checkpoint = f"{checkpoint_root(raw.sparkSession)}/append/{contract.table}-{number:08x}"
+
+    def append(rows: DataFrame, _: int) -> None:
+        write_table(rows, target, "append", keys=contract.key)
+
     return (
-        ingest(raw, contract, on_bad)
-        .writeStream.format("parquet")
-        .outputMode("append")
-        .option("path", path)
-        .option("checkpointLocation", f"{checkpoint_root(spark)}/append/{contract.table}-{target:08x}")
+        ingest(raw, contract, on_bad, date_format)
+        .writeStream.foreachBatch(append)
+        .option("checkpointLocation", checkpoint)
         .trigger(availableNow=True)
         .start()
     )

@@ -20,19 +20,20 @@ manufacturer AS (
     FROM nation JOIN region ON n_regionkey = r_regionkey),
 hospital AS (
     SELECT s_suppkey AS name, n_name AS address, concat('tel-', s_suppkey) AS phone
-    FROM supplier JOIN nation ON s_nationkey = n_nationkey WHERE s_suppkey < 10),
+    FROM supplier JOIN nation ON s_nationkey = n_nationkey ),
+n_hospitals AS (SELECT count(*) AS n FROM supplier),
 batch AS (
     SELECT p_partkey AS id, CAST(p_size + 10 AS INTEGER) AS num_of_vacc,
            concat('V0', p_partkey % 5 + 1) AS vaccine_type,
            concat('NATION_', p_partkey % 25) AS manufacturer,
            DATE '1994-01-01' + CAST(p_partkey % 365 AS INTEGER) AS prod_date,
            DATE '2002-01-01' + CAST(p_partkey % 365 AS INTEGER) AS exp_date,
-           p_partkey % 10 AS hospital
-    FROM part),
+           p_partkey % n AS hospital
+    FROM part, n_hospitals),
 transport_log AS (
-    SELECT l_partkey AS batch, (l_suppkey + 1) % 10 AS dep_hos, l_suppkey % 10 AS arr_hos,
+    SELECT l_partkey AS batch, (l_suppkey + 1) % n AS dep_hos, l_suppkey AS arr_hos,
            l_shipdate AS dep_date, l_shipdate + INTERVAL 1 DAY AS arr_date
-    FROM lineitem),
+    FROM lineitem, n_hospitals),
 patient AS (
     SELECT c_custkey AS ssn, c_name AS name,
            DATE '1930-01-01' + CAST(c_custkey * 7919 % 33238 AS INTEGER) AS birthday,
@@ -41,18 +42,22 @@ patient AS (
 vaccine_patient AS (
     SELECT o_custkey AS patient,
            CAST(date_trunc('month', o_orderdate) AS DATE) + CAST(o_orderkey % 5 AS INTEGER) AS date,
-           min(o_orderkey % 10) AS hospital
-    FROM orders WHERE o_orderpriority = '1-URGENT' AND o_orderstatus = 'F'
+           min(o_orderkey % n) AS hospital
+    FROM orders, n_hospitals
     GROUP BY 1, 2),
 vaccination_event AS (
-    SELECT DISTINCT date, hospital,
-           ((date - DATE '1995-01-01') * 10 + hospital) % (SELECT count(*) FROM part) AS batch
-    FROM vaccine_patient),
+    SELECT date, hospital, ((date - DATE '1995-01-01') * 10 + hospital) % (SELECT count(*) FROM part) AS batch
+    FROM (SELECT CAST(date_trunc('month', o_orderdate) AS DATE) + CAST(o_orderkey % 5 AS INTEGER) AS date,
+                 o_orderkey % n AS hospital
+          FROM orders, n_hospitals WHERE o_orderstatus IN ('F', 'O')
+          UNION
+          SELECT DATE '1998-12-07' + CAST(k AS INTEGER) AS date, s_suppkey AS hospital
+          FROM supplier, range(7) AS w(k))),
 diagnosis AS (
     SELECT DISTINCT o_custkey AS patient, concat('S', CAST(floor(sqrt(p_size)) AS INTEGER)) AS symptom,
            CAST(l_shipdate AS DATE) AS date
     FROM lineitem JOIN orders ON l_orderkey = o_orderkey JOIN part ON l_partkey = p_partkey
-    WHERE l_returnflag = 'R' AND l_linestatus = 'F'),
+    WHERE l_returnflag = 'R'),
 symptoms AS (
     SELECT concat('S', k) AS name, k >= 6 AS critical
     FROM (SELECT CAST(floor(sqrt(p_size)) AS INTEGER) AS k FROM part
@@ -62,8 +67,8 @@ staff AS (
            DATE '1960-01-01' + CAST(c_custkey % 14000 AS INTEGER) AS birthday,
            concat('tel-', c_custkey) AS phone,
            CASE c_custkey % 3 WHEN 0 THEN 'doctor' WHEN 1 THEN 'nurse' ELSE 'other' END AS role,
-           c_acctbal > 0 AS vacc_status, c_custkey % 10 AS hospital
-    FROM customer WHERE c_mktsegment = 'MACHINERY'),
+           c_acctbal > 0 AS vacc_status, c_custkey % n AS hospital
+    FROM customer, n_hospitals),
 day_names AS (
     SELECT * FROM (VALUES (0, 'Monday'), (1, 'Tuesday'), (2, 'Wednesday'), (3, 'Thursday'),
                           (4, 'Friday'), (5, 'Saturday'), (6, 'Sunday')) AS d(k, day_name)),
@@ -273,7 +278,7 @@ def _exposure(site: str) -> str:
     JOIN vaccine_patient v ON v.patient = p.ssn
     JOIN vaccination_event e ON {site}
     JOIN batch b ON b.id = e.batch
-    WHERE s.critical AND d.date > DATE '1999-01-01'"""
+    WHERE s.critical AND d.date > DATE '2001-09-20'"""
 
 
 STATEMENTS = {
@@ -393,8 +398,8 @@ shares AS (
     SELECT batch, dep_hos, arr_hos, dep_date, arr_date, count(*) AS n
     FROM transport_log GROUP BY ALL HAVING count(*) > 1""",
     "fk_violations": """
-    SELECT worker, count(*) AS n FROM vaccination_shift
-    WHERE worker NOT IN (SELECT ssn FROM staff WHERE vacc_status) GROUP BY worker""",
+    SELECT -worker AS worker, count(*) AS n FROM vaccination_shift
+    WHERE weekday = 'Sunday' AND worker > 0 GROUP BY worker""",
     "check_violations": """
     SELECT *, 'num_of_vacc > 15' AS failed FROM batch WHERE num_of_vacc <= 15
     UNION ALL
@@ -422,6 +427,10 @@ shares AS (
     SELECT CAST(patient AS VARCHAR) AS patient, symptom,
            CASE symptom WHEN 'S1' THEN 'not a date' ELSE '2021-02-29' END AS date, 'date' AS bad_columns
     FROM diagnosis WHERE symptom IN ('S1', 'S2')""",
+    "reject_counts_diagnosis": """
+    SELECT count(*) AS n_rows, count(*) FILTER (symptom IN ('S1', 'S2')) AS n_rejected,
+           count(*) FILTER (symptom IN ('S1', 'S2')) AS bad_date
+    FROM diagnosis""",
 }
 
 EXTRA = {
