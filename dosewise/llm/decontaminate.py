@@ -23,6 +23,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from dosewise.llm.batches import Slice, text_slices, windows8
+from dosewise.llm.tables import in_small_batches
 from dosewise.llm.terms import bucket
 
 Q = 8
@@ -312,7 +313,7 @@ def leaks(docs: DataFrame, benchmark: DataFrame, block_bytes: int = BLOCK_BYTES)
     Repeated documents come back each with its rows; repeated items count once.
     """
     spark = docs.sparkSession
-    given = docs.select("doc_id", F.xxhash64("text").alias("text_h"), "text")
+    given = in_small_batches(docs.select("doc_id", F.xxhash64("text").alias("text_h"), "text"))
     kind = docs.schema["doc_id"].dataType.simpleString()
     schema = f"doc_id {kind}, text_h bigint, item_id bigint, start bigint, end bigint, edits bigint"
     found = None
@@ -335,5 +336,5 @@ def without_leaks(docs: DataFrame, benchmark: DataFrame, block_bytes: int = BLOC
     """The rows of ``docs`` with no passage of the benchmark; all columns kept."""
     for index in _indexes(benchmark, block_bytes):
         sent = docs.sparkSession.sparkContext.broadcast(index)
-        docs = docs.mapInArrow(lambda batches, sent=sent: _clean(batches, sent.value), docs.schema)
+        docs = in_small_batches(docs).mapInArrow(lambda batches, sent=sent: _clean(batches, sent.value), docs.schema)
     return docs

@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from dosewise.llm.tables import stored
+from dosewise.llm.tables import in_small_batches, stored
 
 CURVES = 16
 AXES, BITS = 8, 6
@@ -155,7 +155,7 @@ def search(
         return spark.createDataFrame([], schema)
     # All points have the norm of the longest; that is spread evenly over the dimensions.
     scale = longest / np.sqrt(dim + 1)
-    keyed = entries.select("entry", "vector", "asks").mapInArrow(
+    keyed = in_small_batches(entries.select("entry", "vector", "asks")).mapInArrow(
         lambda batches: _keys(batches, dim, longest, scale, curves), "curve int, key bigint, entry bigint, role int")
     ordered = keyed.repartitionByRange("curve", "key", "entry", "role").sortWithinPartitions("curve", "key", "entry", "role")
     ordered = stored(ordered.withColumn("at", F.monotonically_increasing_id()), "curves")

@@ -27,7 +27,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from dosewise.llm.batches import text_slices
-from dosewise.llm.tables import stored
+from dosewise.llm.tables import in_small_batches, stored
 
 CAPACITY = 1024
 END_ID = 2
@@ -82,7 +82,8 @@ def pieces(docs: DataFrame, path: str | None = None, capacity: int = CAPACITY, w
     """``doc_id, text_h, piece, start, length, ids_crc32`` (and ``ids``); null texts are empty."""
     kind = docs.schema["doc_id"].dataType.simpleString()
     schema = f"doc_id {kind}, text_h bigint, piece int, start bigint, length bigint, ids_crc32 bigint"
-    return docs.select("doc_id", F.xxhash64("text").alias("text_h"), "text").mapInArrow(
+    given = docs.select("doc_id", F.xxhash64("text").alias("text_h"), "text")
+    return in_small_batches(given).mapInArrow(
         lambda batches: _tokenized(batches, path, capacity, with_ids), schema + ", ids array<int>" * with_ids
     )
 

@@ -16,6 +16,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from dosewise.llm.batches import Slice, segment_sums, text_slices
+from dosewise.llm.tables import in_small_batches
 from dosewise.llm.terms import SHAPES, grams, shape
 
 GRAM = 4
@@ -85,7 +86,7 @@ def training_sample(docs: DataFrame, labels: DataFrame, grade: str, per_grade: i
     texts = docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id")
     # Rows that repeat a doc_id would pass the bound: one text for each.
     texts = texts.groupBy("doc_id", "grade").agg(F.max("text").alias("text")).select("grade", "text")
-    return texts.mapInArrow(_features, "grade double, bins binary, shares binary, forms binary").collect()
+    return in_small_batches(texts).mapInArrow(_features, "grade double, bins binary, shares binary, forms binary").collect()
 
 
 def fit(rows: list, rounds: int = ROUNDS, ridge: float = RIDGE) -> Model:
@@ -173,7 +174,8 @@ def rate(docs: DataFrame, model: Model, good: float = 1.0) -> DataFrame:
     """
     weights = docs.sparkSession.sparkContext.broadcast(model)  # a fixed number of weights
     kind = docs.schema["doc_id"].dataType.simpleString()
-    return docs.select("doc_id", F.xxhash64("text").alias("text_h"), "text").mapInArrow(
+    given = docs.select("doc_id", F.xxhash64("text").alias("text_h"), "text")
+    return in_small_batches(given).mapInArrow(
         lambda batches: _rate(batches, weights.value, good),
         f"doc_id {kind}, text_h bigint, expected_grade double, tail_probability double",
     )
@@ -188,4 +190,4 @@ def _select(batches: Iterator[pa.RecordBatch], model: Model, good: float, tail:
 def select(docs: DataFrame, model: Model, good: float = 1.0, tail: float = TAIL) -> DataFrame:
     """The rows of ``docs`` whose tail probability is at least ``tail``, all columns kept."""
     weights = docs.sparkSession.sparkContext.broadcast(model)
-    return docs.mapInArrow(lambda batches: _select(batches, weights.value, good, tail), docs.schema)
+    return in_small_batches(docs).mapInArrow(lambda batches: _select(batches, weights.value, good, tail), docs.schema)

@@ -27,7 +27,7 @@ from pyspark.sql import functions as F
 
 from dosewise.llm.batches import segment_sums, text_slices
 from dosewise.llm.components import components
-from dosewise.llm.tables import same, stored
+from dosewise.llm.tables import in_small_batches, same, stored
 
 BYTES = 8
 SHINGLE = 3
@@ -68,7 +68,7 @@ def fingerprints(docs: DataFrame, shingle: int = SHINGLE) -> DataFrame:
     """``doc_id, text_h, fingerprint`` for every row; null texts count as empty."""
     given = docs.select("doc_id", F.xxhash64("text").alias("text_h"), "text")
     kind = docs.schema["doc_id"].dataType.simpleString()
-    return given.mapInArrow(
+    return in_small_batches(given).mapInArrow(
         lambda batches: fingerprint_batches(batches, shingle), f"doc_id {kind}, text_h bigint, fingerprint bigint"
     )
 

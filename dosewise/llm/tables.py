@@ -9,6 +9,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 CHECKPOINT_DIR = "spark.checkpoint.dir"
+BATCH_BYTES = "spark.sql.execution.arrow.maxBytesPerBatch"
+MOST_BATCH_BYTES = 4 << 20
 
 
 def shared_folder(spark: SparkSession) -> str:
@@ -34,6 +36,19 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def in_small_batches(df: DataFrame) -> DataFrame:
+    """``df``, to be handed to Python in Arrow batches of a few MB.
+
+    Spark's own limit of 64 MB is held several times over, by the JVM and by each Python
+    worker beside it, and texts are long. A smaller limit of the session stays.
+    """
+    conf = df.sparkSession.conf
+    limit = conf.get(BATCH_BYTES, "-1").removesuffix("b")
+    if not limit.isdigit() or int(limit) > MOST_BATCH_BYTES:
+        conf.set(BATCH_BYTES, str(MOST_BATCH_BYTES))
+    return df
+
+
 def same(left: Column, right: Column) -> Column:
     """Equality for join keys in which null equals null."""
     return left.eqNullSafe(right)

@@ -18,6 +18,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from dosewise.llm.batches import Slice, segment_sums, text_slices, windows8
+from dosewise.llm.tables import in_small_batches
 from dosewise.llm.terms import IS_LETTER, LOWER, MIX, bucket, words_within
 
 BITS = 18
@@ -89,7 +90,7 @@ def training_sample(
     texts = docs.select("doc_id", "text").join(F.broadcast(chosen.select("doc_id", "label")), "doc_id")
     # Rows that repeat a doc_id would pass the bound: one text for each.
     texts = texts.groupBy("doc_id", "label").agg(F.max("text").alias("text")).select("label", "text")
-    return texts.mapInArrow(_sets, "label int, bins binary").collect(), sizes
+    return in_small_batches(texts).mapInArrow(_sets, "label int, bins binary").collect(), sizes
 
 
 @dataclass(frozen=True)
@@ -193,7 +194,8 @@ def score(docs: DataFrame, model: Model) -> DataFrame:
     """
     sent = docs.sparkSession.sparkContext.broadcast(model)  # a fixed number of weights
     kind = docs.schema["doc_id"].dataType.simpleString()
-    scored = docs.select("doc_id", F.xxhash64("text").alias("text_h"), "text").mapInArrow(
+    given = docs.select("doc_id", F.xxhash64("text").alias("text_h"), "text")
+    scored = in_small_batches(given).mapInArrow(
         lambda batches: _score(batches, sent.value), f"doc_id {kind}, text_h bigint, score double")
     predicted = (F.col("score") >= 0.5).cast("int").alias("predicted")
     return scored.select("doc_id", "text_h", held_out(F.col("doc_id")).alias("held_out"), "score", predicted)
