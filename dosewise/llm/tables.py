@@ -43,7 +43,7 @@ def in_small_batches(df: DataFrame) -> DataFrame:
     worker beside it, and texts are long. A smaller limit of the session stays.
     """
     conf = df.sparkSession.conf
-    limit = conf.get(BATCH_BYTES, "-1").removesuffix("b")
+    limit = conf.get(BATCH_BYTES).removesuffix("b")
     if not limit.isdigit() or int(limit) > MOST_BATCH_BYTES:
         conf.set(BATCH_BYTES, str(MOST_BATCH_BYTES))
     return df
