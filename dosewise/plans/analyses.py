@@ -295,6 +295,46 @@ def contacts(
     return people.union(gaps).distinct()
 
 
+def contacts_by_worker(
+    t: Tables, workers: DataFrame, start: Date, end: Date, drop_unknown: bool = False
+) -> DataFrame:
+    """``contacts`` of every worker of ``workers(worker)`` in one job: ``worker, ssn, name``.
+
+    Each of a worker's contacts appears once, and a (NULL, NULL) contact as in ``contacts``.
+    """
+    day = F.col("date")
+    low, high = F.lit(start).cast("date"), F.lit(end).cast("date")
+    asked = workers.select("worker").distinct()
+    roster = t["vaccination_shift"].select("hospital", "weekday", "worker").distinct()
+    held = t["vaccination_event"].where(day.between(low, high)).select(
+        "hospital", "date", weekday_name(day).alias("weekday")
+    )
+    events = held.join(roster.join(asked, "worker"), ["hospital", "weekday"])
+    visits = t["vaccine_patient"].where(day.between(low, high)).select("hospital", "date", "patient")
+    shifts = events.select("worker", "hospital", "weekday").distinct()
+    colleagues = roster.withColumnRenamed("worker", "colleague")
+    seen = events.join(visits, ["hospital", "date"])
+    with_whom = shifts.join(colleagues, ["hospital", "weekday"]).where("colleague <> worker")
+
+    def met(rows: DataFrame, who: str, people: DataFrame) -> DataFrame:
+        ids = rows.select("worker", F.col(who).alias("ssn")).distinct()
+        names = people.select("ssn", F.col("ssn").alias("known"), "name")
+        return ids.join(names, "ssn", "left").select("worker", F.col("known").alias("ssn"), "name")
+
+    people = met(seen, "patient", t["patient"]).union(met(with_whom, "colleague", t["staff"]))
+    if drop_unknown:
+        return people.where(F.col("ssn").isNotNull()).distinct()
+    ssn, name = (t["patient"].schema[c].dataType for c in ("ssn", "name"))
+    alone = [
+        events.join(visits.select("hospital", "date").distinct(), ["hospital", "date"], "left_anti"),
+        shifts.join(with_whom.select("worker", "hospital", "weekday").distinct(), ["worker", "hospital", "weekday"], "left_anti"),
+    ]
+    for rows in alone:
+        people = people.union(
+            rows.select("worker", F.lit(None).cast(ssn).alias("ssn"), F.lit(None).cast(name).alias("name")))
+    return people.distinct()
+
+
 def staff_for_patient(t: Tables, patient: str | int) -> DataFrame:
     """Staff who may have given a patient's doses: those on shift at the hospital on
     the weekday of each dose."""

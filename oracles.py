@@ -384,6 +384,17 @@ shares AS (
     SELECT date, 'two_vaccines' AS series, two_vaccines AS n FROM ({_curve(LAST_DATES, "two_vaccines")})""",
     "contacts": ("SELECT ssn, name FROM met", _met(YEAR_1998)),
     "contacts_known": ("SELECT ssn, name FROM met WHERE ssn IS NOT NULL", _met(YEAR_1998)),
+    "contacts_by_worker": """
+    SELECT worker, ssn, name FROM each_here JOIN vaccine_patient USING (date, hospital) JOIN patient ON ssn = patient
+    UNION
+    SELECT e.worker, w.ssn, w.name
+    FROM each_here e JOIN vaccination_shift s ON s.hospital = e.hospital AND s.weekday = e.weekday AND s.worker <> e.worker
+    JOIN staff w ON w.ssn = s.worker
+    UNION
+    SELECT worker, NULL, NULL FROM each_here e
+    WHERE NOT EXISTS (SELECT 1 FROM vaccine_patient v WHERE v.date = e.date AND v.hospital = e.hospital)
+       OR NOT EXISTS (SELECT 1 FROM vaccination_shift s
+                      WHERE s.hospital = e.hospital AND s.weekday = e.weekday AND s.worker <> e.worker)""",
     "staff_for_patient": f"""
     SELECT v.patient, v.date, v.hospital, w.ssn, w.name, w.role
     FROM vaccine_patient v JOIN vaccination_shift s
@@ -434,6 +445,12 @@ shares AS (
 }
 
 EXTRA = {
+    "contacts_by_worker": f"""
+each_here AS (
+    SELECT worker, date, hospital, weekday
+    FROM (SELECT date, hospital, dayname(date) AS weekday FROM vaccination_event WHERE date {YEAR_1998})
+    JOIN vaccination_shift USING (hospital, weekday))
+""",
     "cumulative_fully_vaccinated_second": """
 seconds AS (
     SELECT patient, date FROM vaccine_patient

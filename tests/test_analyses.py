@@ -4,7 +4,7 @@ import pytest
 from conftest import rows
 
 from dosewise import write_table
-from dosewise.functions.dates import ALL_BANDS
+from dosewise.functions.dates import ALL_BANDS, age_years
 from dosewise.plans import analyses
 
 
@@ -341,6 +341,47 @@ def test_contacts_may_hold_the_worker_as_a_patient(tables):
     assert contacts(t) == [("n1", "N1"), ("n2", "N2"), ("w", "W")]
 
 
+@pytest.mark.parametrize("changes", [{}, {"vaccine_patient": [("a", "2021-05-05", "H1")]}], ids=["as is", "with gaps"])
+def test_contacts_of_all_workers_are_those_of_each(tables, changes):
+    t = contact_tables(tables, **changes)
+    staff, span = t["staff"].selectExpr("ssn as worker"), (date(2021, 5, 5), date(2021, 5, 15))
+    for drop in (False, True):
+        found = analyses.contacts_by_worker(t, staff.union(staff), *span, drop_unknown=drop)
+        each = [
+            (r.worker, *person)
+            for r in staff.collect()
+            for person in rows(analyses.contacts(t, r.worker, *span, drop_unknown=drop))
+        ]
+        assert sorted(rows(found, "worker", "ssn", "name"), key=str) == sorted(each, key=str)
+
+
+NO_PATIENT = DOSES | dict(
+    vaccine_patient=[(None, "2021-01-01", "H1"), (None, "2021-01-10", "H1"), ("a", "2021-01-10", "H1")]
+)
+
+
+def test_doses_without_a_patient_count_for_nobody(tables):
+    t = tables(**NO_PATIENT)
+    assert rows(analyses.event_participation(t), "date", "num_patient", "participation") == [
+        ("2021-01-01", 0, 0.0), ("2021-01-10", 1, 12.5)]
+    assert rows(analyses.reserve_percentage(t)) == [(6.25, 8.84, 15.09)]
+    assert rows(analyses.cumulative_vaccinated(t))[-1] == ("2021-01-10", 1)
+    for at in ("last", "second"):
+        assert rows(analyses.cumulative_fully_vaccinated(t, at)) == []
+    assert [r for r in rows(analyses.coverage_series(t)) if r[1] == "two_vaccines"] == []
+    assert max(r[2] for r in rows(analyses.coverage_series(t))) == 1
+
+
+def test_age_by_calendar_at_month_ends(tables):
+    born = ["2000-02-29", "2000-02-28", "2000-03-01", "1999-02-28", "2000-01-31"]
+    t = tables(patient=[(f"p{i}", "x", day, "F") for i, day in enumerate(born)])
+    for as_of, expected in (
+        (date(2021, 2, 28), [20, 21, 20, 22, 21]), (date(2021, 3, 1), [21, 21, 21, 22, 21]), (date(2020, 2, 29), [20, 20, 19, 21, 20]),
+    ):
+        ages = t["patient"].select("ssn", age_years(t["patient"].birthday, as_of, "calendar").alias("age"))
+        assert [age for _, age in rows(ages)] == expected
+
+
 def test_staff_for_patient(tables):
     found = analyses.staff_for_patient(contact_tables(tables), "a")
     assert found.columns == ["patient", "date", "hospital", "ssn", "name", "role"]

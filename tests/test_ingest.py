@@ -5,6 +5,7 @@ from conftest import rows
 from pyspark.errors import PySparkException
 
 from dosewise import CONTRACTS, Tables, ingest, normalise_headers, rejected_rows, write_table
+from dosewise.sources.ingest import reject_counts
 from dosewise.sources.sample import as_sheet, sample_tables
 from dosewise.sources.tables import read_source
 
@@ -84,6 +85,39 @@ def test_strict_load_stops_on_a_bad_date(spark, conf, ansi, bad):
     assert ingest(sheet, CONTRACTS["vaccination_event"], on_bad="drop").count() == 0
 
 
+def test_dates_in_another_form(spark):
+    sheet = spark.createDataFrame(
+        [("p1", "05/10/2021", "H1"), ("p2", "31/02/2021", "H1"), ("p3", "2021-10-05", "H1"), ("p4", None, "H1")],
+        "patientSsNo string, date string, location string",
+    )
+    contract = CONTRACTS["vaccine_patient"]
+    assert rows(ingest(sheet, contract, "drop", "dd/MM/yyyy")) == [("p1", "2021-10-05", "H1")]
+    assert rows(ingest(sheet, contract, "drop")) == [("p3", "2021-10-05", "H1")]
+    assert rows(reject_counts(sheet, contract, "dd/MM/yyyy")) == [(4, 3, 3)]
+    assert reject_counts(sheet, contract).columns == ["n_rows", "n_rejected", "bad_date"]
+    assert rejected_rows(sheet, contract, "dd/MM/yyyy").count() == 3
+    with pytest.raises(PySparkException, match="cannot read as date"):
+        ingest(sheet, contract, "fail", "dd/MM/yyyy").collect()
+
+
+def test_strict_load_parses_a_cell_once(spark):
+    sheet = as_sheet(sample_tables(spark, SF)["transport_log"], "transport_log")
+    plan = ingest(sheet, CONTRACTS["transport_log"])._jdf.queryExecution().optimizedPlan().toString()
+    top = next(s for s in plan.splitlines() if "raise_error" in s)
+    assert top.count("raise_error") == 2 and top.count("coalesce(") == 2
+
+
+def test_a_second_load_adds_nothing(spark, tables, tmp_path):
+    root = f"{tmp_path}/stored"
+    t = tables(patient=[("a", "Ann", "1990-01-01", "F")], diagnosis=[("a", "fever", "2021-01-01"), (None, "ache", "2021-01-01")])
+    t.save(root)
+    t.save(root)
+    more = t.replaced(patient=tables(patient=[("a", "Ann", "1990-01-01", "F"), ("b", "Bob", "1990-01-01", "M")])["patient"])
+    more.save(root)
+    stored = Tables.stored(spark, root)
+    assert stored["patient"].count() == 2 and stored["diagnosis"].count() == 2
+
+
 def test_typed_sources_pass_through(spark):
     sheet = spark.createDataFrame(
         [(7, "Ann", datetime(1990, 1, 2, 3, 4), "F")], "ssNo bigint, name string, `date of birth` timestamp_ntz, gender string"

@@ -103,6 +103,45 @@ def test_hot_key_is_split(hot, small_pieces, conf, name, hash_limit):
     assert any(f"[{key}#" in s for s in joins)
 
 
+def busiest(df, *found_in):
+    """Rows of the fullest partition and of all, before anything merges partitions."""
+    n = df.select(F.spark_partition_id().alias("p")).groupBy("p").count().agg(F.max("count"), F.sum("count")).first()
+    return n[0], n[1]
+
+
+@pytest.fixture(scope="module")
+def one_patient(hot, spark):
+    """A third of all reports and doses are of one patient, who was at every hospital."""
+    i = F.col("id")
+    doses = spark.range(0, N, 1, 8).select(
+        third(F.lit("0"), (i % 5_000).cast("string")).alias("patient"), day(i % 30).alias("date"), (F.floor(i / 30) % 200).cast("string").alias("hospital"))
+    reports = spark.range(0, 6_000, 1, 8).select(
+        third(F.lit("0"), (i % 5_000).cast("string")).alias("patient"), F.concat(F.lit("S"), (i % 5).cast("string")).alias("symptom"), day(F.lit(20) + i / 5).alias("date"))
+    return hot.replaced(vaccine_patient=doses, diagnosis=reports)
+
+
+@pytest.mark.parametrize("hash_limit", ["0", "128m"], ids=["sort", "hash"])
+def test_hot_patient_at_many_hospitals_is_spread(one_patient, small_pieces, conf, spark, hash_limit):
+    conf(spark_sql_adaptive_maxShuffledHashJoinLocalMapThreshold=hash_limit, spark_sql_adaptive_coalescePartitions_enabled="false")
+    found = analyses.attribute_symptoms(one_patient, ordered=False)
+    most, total = busiest(found)
+    assert total > 100_000 and most < total / 8
+    symptoms = spark.createDataFrame([(f"S{i}", False) for i in range(5)], "name string, critical boolean")
+    labels = analyses.symptom_labels(one_patient.replaced(symptoms=symptoms), ["V01", "V02", "V03"])
+    for job in (found, labels):
+        assert any("Join(skew=true)" in s for s in final_plan(job).splitlines())
+
+
+def test_hot_hospital_is_spread_over_its_events(hot, small_pieces, conf, spark):
+    conf(spark_sql_adaptive_coalescePartitions_enabled="false")
+    symptoms = spark.createDataFrame([("S1", True), ("S2", False)], "name string, critical boolean")
+    t = hot.replaced(symptoms=symptoms)
+    exposed = reports.critical_exposure(t, date(2050, 1, 1), ordered=False)
+    most, total = busiest(exposed)
+    per_hospital = exposed.groupBy("hospital").count().agg(F.max("count")).first()[0]
+    assert per_hospital > total / 4 and most < per_hospital / 3
+
+
 def test_every_row_of_a_hot_key_is_kept(hot, small_pieces):
     assert analyses.patient_symptoms(hot).count() == N
     assert analyses.patient_symptoms(hot).where("ssn = '0'").count() >= N // 3
