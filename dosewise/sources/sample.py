@@ -1,10 +1,11 @@
 """The twelve tables, and their raw sheets, derived from TPC-H-like order tables.
 
 Hospitals are all suppliers, batches all parts, legs all line items, patients and staff
-all customers, doses all orders. Two tables stand for part of a source by its meaning:
-diagnoses are the returned line items, and events are the orders that are not pending,
-so that some doses have no event; every hospital also has an opening week nobody comes
-to. All tables grow with their sources. Ids stay numbers.
+all customers. Three tables stand for part of a source by its meaning: doses are the
+urgent orders (a patient then has none, one, two or more), diagnoses the returned line
+items, events the orders that are not pending, so that some doses have no event and many
+events no dose; every hospital also has an opening week nobody comes to. All tables grow
+with their sources. Ids stay numbers.
 """
 
 from __future__ import annotations
@@ -123,7 +124,8 @@ class _Sample:
         return day.alias("date"), (F.col("o_orderkey") % self.n_hospitals()).alias("hospital")
 
     def vaccine_patient(self) -> DataFrame:
-        visits = self.source("orders").select(F.col("o_custkey").alias("patient"), *self._visit())
+        urgent = self.source("orders").where("o_orderpriority = '1-URGENT'")
+        visits = urgent.select(F.col("o_custkey").alias("patient"), *self._visit())
         return visits.groupBy("patient", "date").agg(F.min("hospital").alias("hospital"))
 
     def vaccination_event(self) -> DataFrame:

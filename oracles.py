@@ -43,7 +43,7 @@ vaccine_patient AS (
     SELECT o_custkey AS patient,
            CAST(date_trunc('month', o_orderdate) AS DATE) + CAST(o_orderkey % 5 AS INTEGER) AS date,
            min(o_orderkey % n) AS hospital
-    FROM orders, n_hospitals
+    FROM orders, n_hospitals WHERE o_orderpriority = '1-URGENT'
     GROUP BY 1, 2),
 vaccination_event AS (
     SELECT date, hospital, ((date - DATE '1995-01-01') * 10 + hospital) % (SELECT count(*) FROM part) AS batch

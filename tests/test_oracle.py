@@ -64,6 +64,7 @@ def test_entry_is_lazy_and_has_rows(spark):
 # What is left out of a source by the meaning of the table, and nothing else.
 ROLES = {
     "diagnosis": {"(l_returnflag#n = R)"},
+    "vaccine_patient": {"(o_orderpriority#n = 1-URGENT)"},
     "vaccination_event": {"NOT (o_orderstatus#n = P)"},
 }
 
