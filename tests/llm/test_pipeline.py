@@ -1,0 +1,119 @@
+"""The pipeline against brute-force versions of its stages, one after the other."""
+
+import random
+import zlib
+from collections import defaultdict
+
+import __spark_entry__ as registry
+import numpy as np
+import pytest
+import test_decontaminate
+import test_lines
+import test_simhash
+
+import corpus_pipeline
+from dosewise.llm import lines, packing, quality
+
+COLUMNS = "doc_id bigint, text string, lang string, source string, n_chars bigint"
+
+
+@pytest.fixture(scope="module")
+def folder(spark, tmp_path_factory):
+    rng = random.Random(1)
+    words = [f"{a}{b}" for a in ("rain", "field", "hill", "quiet", "river", "stone") for b in ("s", "ing", "ly", "er", "ness", "")]
+    root = str(tmp_path_factory.mktemp("corpus"))
+
+    def prose(n):
+        return " ".join(rng.choices(words, k=n))
+
+    passages = {i: prose(25) for i in range(4)}
+    shared = [prose(8) for _ in range(3)]
+    texts = {}
+    for i in range(160):
+        kind = i % 8
+        body = [prose(rng.randint(5, 30)) for _ in range(rng.randint(1, 4))]
+        if kind == 1:  # junk
+            body = ["### ".join(rng.choices(words, k=30)) + "###"]
+        elif kind == 2:
+            body.insert(rng.randrange(len(body) + 1), rng.choice(shared))
+        elif kind == 3:
+            body.append(passages[i % 4])
+        elif kind == 4:  # near copy of an earlier one, on one line
+            body = [texts[i - 4].replace("\n", " ").upper()]
+        elif kind == 5:  # exact copy
+            body = [texts[i - 5]]
+        texts[i] = "\n".join(body)
+    texts |= {200: "", 201: None, 202: prose(3000)}
+    rows = [(i, t, "en", None, None if t is None else len(t)) for i, t in texts.items()]
+    spark.createDataFrame(rows, COLUMNS).write.parquet(f"{root}/documents.parquet")
+    labels = [(i, int(i % 8 != 1)) for i in range(160)]
+    spark.createDataFrame(labels, "doc_id bigint, quality int").write.parquet(f"{root}/labels.parquet")
+    spark.createDataFrame(list(passages.items()), "item_id bigint, text string").write.parquet(f"{root}/benchmark.parquet")
+    return root, texts, passages
+
+
+def test_stages_in_order():
+    assert [name for name, _ in corpus_pipeline.STAGES] == [
+        "quality_classifier", "line_dedup", "simhash_near_dedup", "benchmark_decontamination", "best_fit_packing"]
+    assert registry.queries()["pipeline"] is corpus_pipeline.run
+
+
+def test_against_brute_force(spark, folder):
+    root, texts, passages = folder
+    docs = spark.read.parquet(f"{root}/documents.parquet")
+    model = quality.train(docs, spark.read.parquet(f"{root}/labels.parquet"))
+    rated = {r.doc_id: r.tail_probability for r in quality.rate(docs, model).collect()}
+    held = {i: t for i, t in texts.items() if rated[i] >= quality.TAIL}
+    junk = [i for i in range(160) if i % 8 == 1]
+    assert not set(junk) & set(held) and set(range(160)) - set(junk) <= set(held)
+
+    stages = dict(corpus_pipeline.STAGES)
+    steps = {}
+    for name in list(stages)[:-1]:
+        docs = stages[name](spark, docs, root)
+        assert [f.name for f in docs.schema] == ["doc_id", "text", "lang", "source", "n_chars"]
+        docs = spark.createDataFrame(docs.collect(), COLUMNS)
+        steps[name] = {r.doc_id: r.text for r in docs.collect()}
+    assert steps["quality_classifier"] == held
+
+    gone = test_lines.brute(held, lines.MIN_CHARS)
+    cut = {}
+    for i, text in held.items():
+        left = None if text is None else [p for n, p in enumerate(text.split("\n")) if (i, n) not in gone]
+        if text is None or left:
+            cut[i] = text if text is None else "\n".join(left)
+    assert steps["line_dedup"] == cut and len(cut) < len(held)
+
+    roots = test_simhash.closure(test_simhash.brute(cut))
+    single = {i: cut[i] for i in cut if roots[i] == i}
+    assert steps["simhash_near_dedup"] == single and len(single) < len(cut)
+
+    leaked = {i for i, _ in test_decontaminate.brute(single, passages)}
+    clean = {i: t for i, t in single.items() if i not in leaked}
+    assert steps["benchmark_decontamination"] == clean and len(clean) < len(single)
+
+    rows = corpus_pipeline.run(spark, root).collect()
+    pieces, places = defaultdict(list), defaultdict(list)
+    for r in rows:
+        pieces[r.doc_id].append(r)
+        places[r.sequence_id].append((r.offset, r.length))
+    assert set(pieces) == set(clean)
+    coding = packing.tokenizer()
+    for i, text in clean.items():
+        ids = [*coding.encode_ordinary(text or ""), packing.END_ID]
+        assert sum(r.length for r in pieces[i]) == len(ids)
+        for r in pieces[i]:
+            assert r.ids_crc32 == zlib.crc32(np.array(ids[r.start : r.start + r.length], "<u4").tobytes())
+    for spans in places.values():
+        at = 0
+        for offset, length in sorted(spans):
+            assert offset == at
+            at += length
+        assert at <= packing.CAPACITY
+
+
+def test_empty_documents(spark, folder, tmp_path):
+    root, _, _ = folder
+    for name in ("documents", "labels", "benchmark"):
+        spark.read.parquet(f"{root}/{name}.parquet").limit(0).write.parquet(f"{tmp_path}/{name}.parquet")
+    assert corpus_pipeline.run(spark, str(tmp_path)).count() == 0
