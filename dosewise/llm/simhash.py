@@ -150,6 +150,8 @@ def near_duplicates(
     moved = roots.join(least, "root").select(F.col("node").alias("fingerprint"), F.col("component_id").alias("least"))
     labels = classes.join(moved, "fingerprint", "left")
     labels = labels.select("fingerprint", F.coalesce("least", "first").alias("component_id"))
+    # Written out, so that the last join is a plain one that can split a hot fingerprint.
+    labels = stored(labels, "labels")
     return prints.join(labels, "fingerprint").select("doc_id", "text_h", "fingerprint", "component_id")
 
 
