@@ -53,10 +53,17 @@ def labelled_samples(docs: DataFrame, sample_docs: int = SAMPLE_DOCS) -> DataFra
         F.explode(F.array(digest, F.substring(digest, 1, 40), F.regexp_replace(F.base64(F.unhex(digest)), "=", ""), upper)).alias("token"))
 
     text = F.coalesce("text", F.lit(""))
-    order = [F.xxhash64("doc_id"), F.xxhash64("text")]
-    matching = docs.select("doc_id", "text").where(F.rlike(text, F.lit(f"{HEX}|{ACCESS}"))).orderBy(*order).limit(sample_docs)
+    # The sample is chosen by ids, so that no task gathers texts that are not in it.
+    keyed = docs.select("doc_id", F.xxhash64("text").alias("text_h"), F.rlike(text, F.lit(f"{HEX}|{ACCESS}")).alias("match"))
+    order = [F.xxhash64("doc_id"), "text_h", "doc_id"]
+    chosen = keyed.where("match").orderBy(*order).limit(sample_docs).withColumn("role", F.lit("match"))
+    chosen = chosen.union(keyed.orderBy(*order).limit(sample_docs).withColumn("role", F.lit("words")))
+    chosen = chosen.select(F.col("doc_id").alias("its_id"), F.col("text_h").alias("its_h"), "role").distinct()
+    mine = same(F.col("doc_id"), F.col("its_id")) & (F.xxhash64("text") == F.col("its_h"))
+    # At most 2 x ``sample_docs`` ids; rows that repeat a document count once.
+    sample = docs.select("doc_id", "text").join(F.broadcast(chosen), mine).select("doc_id", "its_h", "text", "role").distinct()
+    matching, others = sample.where("role = 'match'"), sample.where("role = 'words'")
     matched = matching.select(F.explode(F.regexp_extract_all(text, F.lit(f"({HEX}|{ACCESS})"), 1)).alias("token"))
-    others = docs.select("doc_id", "text").orderBy(*order).limit(sample_docs)
     words = F.regexp_extract_all(text, F.lit("([A-Za-z]{2,24})"), 1)
 
     def with_joined(own: Column) -> Column:
