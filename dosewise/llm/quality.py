@@ -23,6 +23,7 @@ GRAM = 4
 BITS = 15
 PER_GRADE = 1000  # labelled rows taken for each grade: the bound of the training sample
 MOST_GRADES = 20
+SHARES = 16
 SCALE = 30.0  # of gram shares
 FORM_SCALE = 10.0  # of form shares: few weights, each to be learnt fast
 ROUNDS = 150
@@ -78,8 +79,12 @@ def training_sample(docs: DataFrame, labels: DataFrame, grade: str, per_grade: i
         "doc_id is not null and grade is not null and not isnan(grade)"
     )
     rated = rated.groupBy("doc_id").agg(F.max("grade").alias("grade"))
-    turn = Window.partitionBy("grade").orderBy(F.xxhash64("doc_id"), "doc_id")
-    chosen = rated.withColumn("turn", F.row_number().over(turn)).where(F.col("turn") <= per_grade).drop("turn")
+    # Ranked in hashed shares, so that no task ranks all rows of a grade.
+    shares = max(1, min(SHARES, per_grade // 50))
+    share = F.pmod(F.xxhash64(F.lit("share"), "doc_id"), F.lit(shares)).alias("share")
+    turn = Window.partitionBy("grade", "share").orderBy(F.xxhash64("doc_id"), "doc_id")
+    chosen = rated.select("*", share).withColumn("turn", F.row_number().over(turn))
+    chosen = chosen.where(F.col("turn") <= per_grade // shares).select("doc_id", "grade")
     n_grades = chosen.select("grade").distinct().count()
     if n_grades > MOST_GRADES:
         raise ValueError(f"more than {MOST_GRADES} different grades: not graded ratings")
