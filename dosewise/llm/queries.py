@@ -105,6 +105,32 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op10_toxicity": op10_toxicity,
 }
 
+# Every string of the length, in hexadecimal, and the first document that has it.
+OP6_SQL = f"""
+with doc as (
+    select doc_id, hex(encode(coalesce(text, ''))) as h from documents
+), spot as (
+    select doc_id, unnest(list_transform(range(0, length(h) // 2 - {repeats.SPAN - 1}),
+        lambda i: struct_pack(place := i, body := substr(h, 2 * i + 1, {2 * repeats.SPAN}))), recursive := true) from doc
+), hit as (
+    select doc_id, place from spot join (select body, min(doc_id) as first_doc from spot group by body) using (body) where first_doc < doc_id
+), island as (
+    select doc_id, place, sum(step) over (partition by doc_id order by place) as island
+    from (select doc_id, place, case when place - lag(place) over (partition by doc_id order by place) <= {repeats.SPAN} then 0 else 1 end as step from hit)
+), span as (
+    select doc_id, min(place) as low, max(place) + {repeats.SPAN} as high from island group by doc_id, island
+), piece as (
+    select doc_id, low, high, coalesce(lag(high) over (partition by doc_id order by low), 0) as from_at from span
+), cut as (
+    select doc_id, count(*) as n_spans, sum(high - low) as n_removed, max(high) as last,
+        string_agg(substr(h, 2 * from_at + 1, 2 * (low - from_at)), '' order by low) as head
+    from piece join doc using (doc_id) group by doc_id
+)
+select doc.doc_id, (length(h) // 2)::bigint as n_bytes, coalesce(n_removed, 0)::bigint as n_removed,
+    coalesce(n_spans, 0)::bigint as n_spans, sha256(unhex(coalesce(head || substr(h, 2 * last + 1), h))) as kept_sha256
+from doc left join cut using (doc_id)
+"""
+
 # Every run of at most 25 lines with just enough characters, as text, and its first place.
 OP7_SQL = f"""
 with doc as (
@@ -193,5 +219,6 @@ from page left join fit using (row) left join scored using (row)
 
 ORACLES: dict[str, str] = {
     "op9_url_filters": OP9_SQL,
+    "op6_suffix_array_dedup": OP6_SQL,
     "op7_line_dedup": OP7_SQL,
 }
