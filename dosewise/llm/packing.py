@@ -33,7 +33,7 @@ CAPACITY = 1024
 END_ID = 2
 STEP = 0.5  # share of a length's pieces that one use of a configuration may cover
 RATE = 2.0  # of the fall of prices with cover
-SHARE_ROWS = 1 << 20  # pieces that are ranked together
+SHARE_ROWS = 1 << 14  # pieces that are ranked together
 
 
 def tokenizer(ranks_path: str | None = None):

@@ -29,7 +29,7 @@ def sample(seed):
     return texts | {100: None, 101: "", 102: "x<|endoftext|>y", 103: "a" * 50000, 104: texts[3], 105: texts[3]}
 
 
-@pytest.mark.parametrize("capacity, share_rows", [(1024, 1 << 20), (64, 7)])
+@pytest.mark.parametrize("capacity, share_rows", [(1024, 1 << 14), (64, 7)])
 def test_round_trip(spark, capacity, share_rows):
     texts = sample(1)
     rows = packing.pack(frame(spark, texts), capacity=capacity, share_rows=share_rows).collect()
