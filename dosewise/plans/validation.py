@@ -38,28 +38,32 @@ def _rules(t: Tables) -> list[tuple[Contract, str, str, Reference | None]]:
     return rules
 
 
-def _findings(df: DataFrame, rules: list[tuple[int, Contract, str, str, Reference | None]]) -> DataFrame:
-    """``rule, place, key``: what each row has to say about the rules of its table.
+Numbered = list[tuple[int, Contract, str, str, Reference | None]]
 
-    Its key, the keys it refers to, and the rules it breaks by itself. ``place`` is the
-    table that a key belongs to: there a reference meets the key it points to.
+
+def _keys(df: DataFrame, rules: Numbered) -> DataFrame:
+    """``rule, place, key``: the key of each row and the keys it refers to.
+
+    ``place`` is the table that a key belongs to: there a reference meets the key it
+    points to. A reference with a missing cell says nothing.
     """
-    nobody = F.lit(None).cast("array<string>")
     found = []
-    for number, contract, name, kind, ref in rules:
-        said, place, key = F.lit(True), contract.table, nobody
-        if kind == NOT_NULL:
-            said = F.col(name).isNull()
-        elif kind == CHECK:
-            said = ~F.expr(name)
-        elif kind == KEY:
-            key = _key_text(contract.key)
+    for number, contract, _, kind, ref in rules:
+        if kind == KEY:
+            place, key = contract.table, _key_text(contract.key)
         else:
             own = _own_order(ref)
-            said, place, key = reduce(and_, [F.col(c).isNotNull() for c in own]), ref.parent, _key_text(own)
-        row = F.struct(F.lit(number).alias("rule"), F.lit(place).alias("place"), key.alias("key"))
-        found.append(row if kind == KEY else F.when(said, row))
-    return df.select(F.inline(F.array_compact(F.array(*found))))
+            place, key = ref.parent, F.when(reduce(and_, [F.col(c).isNotNull() for c in own]), _key_text(own))
+        found.append(F.struct(F.lit(number).alias("rule"), F.lit(place).alias("place"), key.alias("key")))
+    return df.select(F.inline(F.array(*found))).where("key is not null")
+
+
+def _row_counts(df: DataFrame, rules: Numbered) -> DataFrame:
+    """``rule, found``: rows that break a rule by themselves, all rules in one pass."""
+    broken = {n: F.col(name).isNull() if kind == NOT_NULL else ~F.expr(name) for n, _, name, kind, _ in rules}
+    counts = df.agg(*[F.count_if(said).alias(f"r{n}") for n, said in broken.items()])
+    cells = [F.struct(F.lit(n).alias("rule"), F.col(f"r{n}").alias("found")) for n in broken]
+    return counts.select(F.inline(F.array(*cells)))
 
 
 def _together(parts: list[DataFrame]) -> DataFrame:
@@ -73,26 +77,26 @@ def _together(parts: list[DataFrame]) -> DataFrame:
 def validate(t: Tables) -> DataFrame:
     """``(table, constraint, kind, violations)`` for every declared rule, zeros included.
 
-    One scan per table. Rows say their keys and references, which are counted before
-    they are shuffled: a key that half the rows point to sends a row per task. Equal keys
-    of one table then meet in a group with at most one row per rule, and a reference
-    without a key in its group is an orphan. Rules whose tables are not given are left out.
+    Two scans per table. One settles what a row breaks by itself. In the other, rows say
+    their keys and references, which are counted before they are shuffled: a key that half
+    the rows point to sends a row per task. Equal keys of one table then meet in a group
+    with at most one row per rule, and a reference without a key in its group is an orphan.
+    Rules whose tables are not given are left out.
     """
     rules = _rules(t)
     numbered = [(i, *rule) for i, rule in enumerate(rules)]
-    parts = [_findings(t[name], [r for r in numbered if r[1].table == name]) for name in t]
-    counted = _together(parts).groupBy("place", "key", "rule").agg(F.count("*").alias("n"))
+    by_key = {name: [r for r in numbered if r[1].table == name and r[3] in (KEY, REFERENCE)] for name in t}
+    by_row = {name: [r for r in numbered if r[1].table == name and r[3] in (NOT_NULL, CHECK)] for name in t}
+    said = _together([_keys(t[name], by_key[name]) for name in t])
+    counted = said.groupBy("place", "key", "rule").agg(F.count("*").alias("n"))
     keys = [i for i, (_, _, kind, _) in enumerate(rules) if kind == KEY]
-    references = [i for i, (_, _, kind, _) in enumerate(rules) if kind == REFERENCE]
     met = counted.groupBy("place", "key").agg(
         F.max(F.col("rule").isin(keys)).alias("known"), F.collect_list(F.struct("rule", "n")).alias("all"))
     each = met.select("known", F.inline("all"))
-    refused = (
-        F.when(F.col("rule").isin(keys), F.col("n") - 1)
-        .when(F.col("rule").isin(references) & F.col("known"), 0)
-        .otherwise(F.col("n"))
-    )
-    totals = each.groupBy("rule").agg(F.sum(refused).alias("found"))
+    refused = F.when(F.col("rule").isin(keys), F.col("n") - 1).when(F.col("known"), 0).otherwise(F.col("n"))
+    shared = each.select("rule", refused.alias("found"))
+    single = _together([_row_counts(t[name], by_row[name]) for name in t])
+    totals = shared.union(single).groupBy("rule").agg(F.sum("found").alias("found"))
     named = F.array(*[
         F.struct(F.lit(i).alias("rule"), F.lit(c.table).alias("table"), F.lit(name).alias("constraint"), F.lit(kind).alias("kind"))
         for i, (c, name, kind, _) in enumerate(rules)
