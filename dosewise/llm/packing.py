@@ -17,9 +17,11 @@ by hashed shares of each length, so a length with a third of all pieces is many
 from __future__ import annotations
 
 import base64
+import re
 import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass
+from functools import cache
 
 import numpy as np
 import pyarrow as pa
@@ -34,9 +36,11 @@ END_ID = 2
 STEP = 0.5  # share of a length's pieces that one use of a configuration may cover
 RATE = 2.0  # of the fall of prices with cover
 SHARE_ROWS = 1 << 14  # pieces that are ranked together
+# White space as the pattern has it; Python's has more.
+LONG_BLANK = re.compile("[\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]{50000,}")
 
 
-def tokenizer(ranks_path: str | None = None):
+def tokenizer(ranks_path: str | None = None, pattern: str | None = None):
     """The byte-level BPE given as ranks; by default ``byte_bpe_50k``, whose ids equal those
     of the same vocabulary's JSON file. No string in a text is special."""
     import public_tokenizers
@@ -44,7 +48,31 @@ def tokenizer(ranks_path: str | None = None):
 
     with open(ranks_path or public_tokenizers.path("byte_bpe_50k.tiktoken"), "rb") as lines:
         ranks = {base64.b64decode(token): int(rank) for token, rank in map(bytes.split, lines)}
-    return tiktoken.Encoding("ranks", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})
+    return tiktoken.Encoding("ranks", pat_str=pattern or public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})
+
+
+@cache
+def _blank_tokenizer(ranks_path: str | None):
+    return tokenizer(ranks_path, r"\s+")
+
+
+def encoded(coding, text: str, ranks_path: str | None = None) -> np.ndarray:
+    """The ids of ``text``, whatever the length of its runs of white space.
+
+    The pattern's look-ahead keeps a state for each character of such a run, and gives up at
+    a million. Its match is known: the whole run at the end of the text, and all but the last
+    character elsewhere. Then these are merged on their own, and the text between them.
+    """
+    try:
+        return coding.encode_to_numpy(text, disallowed_special=())
+    except ValueError:
+        blank, found, at = _blank_tokenizer(ranks_path), [], 0
+        for run in LONG_BLANK.finditer(text):
+            end = run.end() - (run.end() < len(text))
+            found.append(coding.encode_to_numpy(text[at : run.start()], disallowed_special=()))
+            found.append(blank.encode_to_numpy(text[run.start() : end], disallowed_special=()))
+            at = end
+        return np.concatenate([*found, coding.encode_to_numpy(text[at:], disallowed_special=())])
 
 
 def cuts(length: int, capacity: int) -> list[tuple[int, int]]:
@@ -60,7 +88,7 @@ def _tokenized(batches: Iterator[pa.RecordBatch], path: str | None, capacity: in
         rows, pieces, ids = [], [], []
         for part in text_slices(batch.column("text")):
             for i in range(len(part)):
-                tokens = coding.encode_to_numpy(part.text(i).decode(), disallowed_special=())
+                tokens = encoded(coding, part.text(i).decode(), path)
                 tokens = np.append(tokens, END_ID).astype("<u4")
                 for n, (start, length) in enumerate(cuts(len(tokens), capacity)):
                     own = tokens[start : start + length]

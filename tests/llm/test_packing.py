@@ -104,3 +104,14 @@ def test_empty_repeats_and_extra_columns(spark):
     )
     assert packing.pack(docs).count() == 4
     assert packing.pack(docs.limit(0)).count() == 0
+
+
+def test_runs_of_white_space_longer_than_the_pattern_can_take(spark):
+    n = 1_500_000
+    texts = {0: " " * n, 1: "a b" + " " * n + "word", 2: "x" + "\n" * n + "y", 3: "é\n" + " \n" * (n // 2) + "\n…",
+             4: "　" * 60000 + "a" + " " * n + "\x1c" + "\n" * n + "'s", 5: "a" * n + "1" * n + "!" * n + " " * n}
+    rows = packing.pieces(frame(spark, texts), capacity=1 << 23).collect()
+    expected = {i: ids_of(t) for i, t in texts.items()}
+    assert {r.doc_id: (r.length, r.ids_crc32) for r in rows} == {
+        i: (len(ids), zlib.crc32(np.array(ids, "<u4").tobytes())) for i, ids in expected.items()
+    }
