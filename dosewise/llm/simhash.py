@@ -161,11 +161,18 @@ def hex_fingerprint(value: Column) -> Column:
 
 def keep_one(docs: DataFrame, shingle: int = SHINGLE, max_bits: int = MAX_BITS) -> DataFrame:
     """``docs`` with one row of each near-duplicate component: that of the least doc_id,
-    and of several such rows that with the least text hash; equal rows become one row."""
-    found = near_duplicates(docs, shingle, max_bits)
+    and of several such rows that with the least text hash; equal rows become one row.
+
+    Components are told apart by their fingerprints: ids may be null or repeated.
+    """
+    prints = stored(fingerprints(docs, shingle), "fingerprints")
     order = F.struct(F.col("doc_id").isNull(), "doc_id", "text_h")
     # One class may hold a third of all rows: least rows are found by a sum, not by sorting.
-    kept = found.groupBy("component_id").agg(F.min(order).alias("kept"))
+    classes = stored(prints.groupBy("fingerprint").agg(F.min(order).alias("first")), "classes")
+    roots = components(links(classes, max_bits))
+    root = F.coalesce("root", "fingerprint").alias("root")
+    rooted = classes.join(roots, classes.fingerprint == roots.node, "left").select(root, "first")
+    kept = rooted.groupBy("root").agg(F.min("first").alias("kept"))
     kept = kept.select(F.col("kept.doc_id").alias("kept_id"), F.col("kept.text_h").alias("kept_h")).distinct()
     mine = same(F.col("doc_id"), F.col("kept_id")) & (F.xxhash64("text") == F.col("kept_h"))
     return docs.join(kept, mine, "left_semi").dropDuplicates(["doc_id", "text"])

@@ -88,3 +88,12 @@ def test_empty_nulls_repeats_and_extra_columns(spark):
     kept = simhash.keep_one(docs)
     assert kept.columns == docs.columns
     assert sorted((r.doc_id or -1) for r in kept.collect()) == [-1, 1]
+
+
+def test_one_row_a_component_whatever_the_ids(spark):
+    rows = [(None, "one two three four"), (None, "some quite other words here"), (None, "one two three four"),
+            (7, "first text of seven"), (7, "a second and unlike one"), (9, "a second and unlike one"), (8, "eight"), (None, "eight")]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string")
+    kept = sorted(((r.doc_id or -1), r.text) for r in simhash.keep_one(docs).collect())
+    assert kept == [(-1, "one two three four"), (-1, "some quite other words here"),
+                    (7, "a second and unlike one"), (7, "first text of seven"), (8, "eight")]
