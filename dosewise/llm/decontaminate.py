@@ -84,7 +84,8 @@ def gram_codes(folded: Folded, q: int) -> tuple[np.ndarray, np.ndarray]:
 class Index:
     """Pieces of benchmark items and where each q-gram occurs in them."""
 
-    item_ids: np.ndarray  # by piece
+    item_ids: list[int | None]
+    items: np.ndarray  # by piece: place in item_ids
     chars: list[np.ndarray]  # by piece
     budgets: np.ndarray
     bounds: np.ndarray  # shared q-grams that an occurrence has at least
@@ -104,7 +105,7 @@ def pieces_of(length: int, piece: int) -> list[tuple[int, int]]:
     return [(s, s + piece) for s in starts]
 
 
-def build_index(items: list[tuple[int, str]], q: int = Q, piece: int = PIECE, rate: float = RATE) -> Index:
+def build_index(items: list[tuple[int | None, str]], q: int = Q, piece: int = PIECE, rate: float = RATE) -> Index:
     ids, chars, grams = [], [], []
     for item_id, text in items:
         (part,) = text_slices(pa.array([text], pa.string()))
@@ -131,8 +132,10 @@ def build_index(items: list[tuple[int, str]], q: int = Q, piece: int = PIECE, ra
     codes, firsts = np.unique(code[order], return_index=True)
     table = np.zeros(1 << TABLE_BITS, bool)
     table[bucket(codes, TABLE_BITS)] = True
+    item_ids = list(dict.fromkeys(ids))
+    place = {item_id: n for n, item_id in enumerate(item_ids)}
     return Index(
-        np.array(ids), chars, budgets, sizes + 1 - q * (budgets + 1), codes, np.append(firsts, len(code)),
+        item_ids, np.array([place[i] for i in ids], np.int64), chars, budgets, sizes + 1 - q * (budgets + 1), codes, np.append(firsts, len(code)),
         owner[order], position[order], table, q,
     )
 
@@ -239,7 +242,7 @@ def regions(part: Slice, index: Index, at_once: int = 4096) -> list[tuple[int, i
         start = stop - _anchored(rows, back, lengths, int(k.max()))
         start = np.maximum(start, folded.starts[t])
         stop = np.minimum(stop, folded.ends[t])
-        spans = zip(t.tolist(), index.item_ids[p].tolist(), start.tolist(), stop.tolist(), edits.tolist())
+        spans = zip(t.tolist(), index.items[p].tolist(), start.tolist(), stop.tolist(), edits.tolist())
         found += list(spans)
     joined = []
     for t, item, start, stop, edits in sorted(found):
@@ -249,7 +252,7 @@ def regions(part: Slice, index: Index, at_once: int = 4096) -> list[tuple[int, i
         else:
             joined.append([t, item, start, stop, edits])
     return [
-        (t, item, int(folded.places[start]), int(folded.places[stop - 1]) + 1, edits)
+        (t, index.item_ids[item], int(folded.places[start]), int(folded.places[stop - 1]) + 1, edits)
         for t, item, start, stop, edits in joined
     ]
 
@@ -295,14 +298,16 @@ SPANS = pa.schema([("item_id", pa.int64()), ("start", pa.int64()), ("end", pa.in
 
 def _indexes(benchmark: DataFrame, block_bytes: int) -> Iterator[Index]:
     """An index per block of items; items are dealt into blocks of about the same size."""
-    items = benchmark.select(F.col("item_id").cast("bigint"), "text").where("item_id is not null and text is not null")
-    items = items.distinct()
+    items = benchmark.select(F.col("item_id").cast("bigint"), "text").where("text is not null").distinct()
+    named = items.where("item_id is not null")
+    # An item without an id is searched too; one that repeats the text of others is no other item.
+    items = named.union(items.where("item_id is null").join(named.select("text"), "text", "left_anti").select("item_id", "text"))
     total = items.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     n_blocks = max(1, -(-int(total) // block_bytes))
     dealt = items.withColumn("block", F.pmod(F.xxhash64("item_id", "text"), F.lit(n_blocks)))
     for block in range(n_blocks):
         rows = dealt.where(F.col("block") == block).select("item_id", "text").collect()
-        yield build_index(sorted((r.item_id, r.text) for r in rows))
+        yield build_index(sorted(((r.item_id, r.text) for r in rows), key=lambda i: (i[0] is None, i[0] or 0, i[1])))
 
 
 def leaks(docs: DataFrame, benchmark: DataFrame, block_bytes: int = BLOCK_BYTES) -> DataFrame:
@@ -310,6 +315,7 @@ def leaks(docs: DataFrame, benchmark: DataFrame, block_bytes: int = BLOCK_BYTES)
 
     One row per document, item and region; offsets in code points, end exclusive. Null and
     empty texts and items have no passage, items under ``LEAST`` characters are not searched.
+    Items with a null id come back with a null id, unless an item with an id has their text.
     Repeated documents come back each with its rows; repeated items count once.
     """
     spark = docs.sparkSession
@@ -333,7 +339,8 @@ def _clean(batches: Iterator[pa.RecordBatch], index: Index) -> Iterator[pa.Recor
 
 
 def without_leaks(docs: DataFrame, benchmark: DataFrame, block_bytes: int = BLOCK_BYTES) -> DataFrame:
-    """The rows of ``docs`` with no passage of the benchmark; all columns kept."""
+    """The rows of ``docs`` with no passage of the benchmark, of items without an id neither;
+    all columns kept."""
     for index in _indexes(benchmark, block_bytes):
         sent = docs.sparkSession.sparkContext.broadcast(index)
         docs = in_small_batches(docs).mapInArrow(lambda batches, sent=sent: _clean(batches, sent.value), docs.schema)

@@ -114,3 +114,12 @@ def test_folding_keeps_text_bounds():
     texts = ["".join(map(chr, f.chars[a:b])) for a, b in zip(f.starts, f.ends)]
     assert texts == ["a b", " ", "", "é É"]
     assert f.places.tolist() == [0, 1, 3, 0, 0, 1, 3]
+
+
+def test_items_without_an_id_are_searched(spark):
+    one, two, three = (f"passage number {w} that is certainly long enough to be evidence" for w in ("one", "two hundred", "thirty"))
+    table = spark.createDataFrame([(1, one), (2, two), (3, three + " " + one), (4, "clean " * 20)], "doc_id bigint, text string")
+    bench = spark.createDataFrame([(None, one), (5, two), (None, two), (None, three)], "item_id bigint, text string")
+    for block in (1 << 20, 60):
+        assert {r.doc_id for r in d.without_leaks(table, bench, block).collect()} == {4}
+        assert {(r.doc_id, r.item_id) for r in d.leaks(table, bench, block).collect()} == {(1, None), (2, 5), (3, None)}
