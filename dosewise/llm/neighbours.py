@@ -134,8 +134,9 @@ def search(
 
     Nearest is the largest inner product in double precision; ties go to the smaller id.
     Rows take no part if the id or the vector is null, or the vector is zero, has a null or
-    non-finite component or not as many as the longest. Repeated rows count once; an id
-    with several vectors asks with each, and gets the best. No usable row: no result.
+    non-finite component or not as many as most rows (of equally frequent sizes the larger
+    counts). Repeated rows count once; an id with several vectors asks with each, and gets
+    the best. No usable row: no result.
     """
     # Sums of squares of finite floats can overflow; such a vector has no direction to index.
     usable = vectors.select("vec_id", F.col("embedding").alias("vector")).where(
@@ -143,7 +144,8 @@ def search(
         " and forall(vector, x -> abs(double(x)) < 1e150)"
     )
     spark = vectors.sparkSession
-    dim = usable.agg(F.max(F.size("vector"))).first()[0] or 0
+    sizes = usable.groupBy(F.size("vector").alias("dim")).agg(F.count("*").alias("n"))
+    dim = sizes.agg(F.max(F.struct("n", "dim"))["dim"]).first()[0] or 0
     usable = usable.where(F.size("vector") == dim)
     entries = usable.groupBy("vector").agg(
         F.min("vec_id").alias("first"), F.count_distinct("vec_id").alias("n"), F.max(F.expr(asks)).alias("asks"))

@@ -97,3 +97,12 @@ def test_empty_and_extra_columns(spark):
     assert neighbours.search(empty, "vec_id % 20 = 0").collect() == []
     rows = [(0, [1.0, 1.0], 5, 5), (1, [1.0, 1.0], 5, 5), (2, [2.0, 1.0], 5, 5)]
     assert lists(neighbours.search(spark.createDataFrame(rows, schema), "vec_id = 0")) == {0: [(2, 3.0), (1, 2.0)]}
+
+
+def test_a_stray_size_drops_out_and_not_the_table(spark):
+    rows = [(0, [1.0, 0.0]), (1, [0.0, 1.0]), (2, [-1.0, 0.0]), (3, [1.0, 0.0, 5.0]), (4, [2.0])]
+    assert lists(neighbours.search(frame(spark, rows), "vec_id = 0 or vec_id = 3")) == {0: [(1, 0.0), (2, -1.0)]}
+    # Equally frequent: the larger size.
+    assert lists(neighbours.search(frame(spark, rows[:1] + rows[3:4]), "vec_id >= 0")) == {}
+    even = rows[:2] + [(5, [1.0, 0.0, 1.0]), rows[3]]
+    assert lists(neighbours.search(frame(spark, even), "vec_id = 5 or vec_id = 0")) == {5: [(3, 6.0)]}
