@@ -7,7 +7,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from dosewise.llm import decontaminate, lines, neighbours, packing, quality, repeats, secrets, simhash, toxicity, urls
+from dosewise.llm import (
+    decontaminate, infill, lines, neighbours, packing, quality, repeats, resampling, secrets, simhash, subwords, toxicity, urls,
+)
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -92,6 +94,28 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.score(docs, toxicity.train(docs, _table(spark, sf_dir, "labels"))).drop("text_h")
 
 
+def op11_fill_in_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    made = infill.fill_in_middle(_table(spark, sf_dir, "documents"))
+    return made.select(
+        "doc_id", "n", "form", F.col("prefix_units").alias("prefix_chars"), F.col("middle_units").alias("middle_chars"),
+        F.sha2("output", 256).alias("output_sha256"),
+        F.sha2(infill.restored(F.col("form"), F.col("output")), 256).alias("restored_sha256"),
+    )
+
+
+def op12_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    made = subwords.decoded(subwords.encoded(_table(spark, sf_dir, "documents"), packed=True))
+    return made.select(
+        "doc_id", (F.octet_length("ids") / 4).cast("bigint").alias("n_tokens"), F.sha2("ids", 256).alias("ids_sha256"),
+        F.sha2("text", 256).alias("decoded_sha256"),
+    )
+
+
+def op13_importance_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = resampling.resample(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
+    return found.select("doc_id", "n_features", "weight", "score", "rank")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_simhash_near_dedup": op1_simhash_near_dedup,
     "op2_best_fit_packing": op2_best_fit_packing,
@@ -103,6 +127,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_quality_classifier": op8_quality_classifier,
     "op9_url_filters": op9_url_filters,
     "op10_toxicity": op10_toxicity,
+    "op11_fill_in_middle": op11_fill_in_middle,
+    "op12_sentencepiece": op12_sentencepiece,
+    "op13_importance_resampling": op13_importance_resampling,
 }
 
 # Every string of the length, in hexadecimal, and the first document that has it.
@@ -217,8 +244,71 @@ select page_id, host, path, rule,
 from page left join fit using (row) left join scored using (row)
 """
 
+OP11_SQL = """
+with doc as (
+    select doc_id, coalesce(text, '') as text, sha256('1:' || doc_id) as h from documents
+), drawn as (
+    select *, length(text) as n, ('0x' || substr(h, 1, 8))::bigint % (length(text) + 1) as one,
+        ('0x' || substr(h, 9, 8))::bigint % (length(text) + 1) as other,
+        case when text = '' or contains(text, '<P>') or contains(text, '<S>') or contains(text, '<M>')
+            or ('0x' || substr(h, 17, 8))::bigint % 100 >= 90 then 'plain'
+            when ('0x' || substr(h, 25, 8))::bigint % 100 < 20 then 'spm' else 'psm' end as form
+    from doc
+), cut as (
+    select *, substr(text, 1, least(one, other)) as prefix, substr(text, least(one, other) + 1, abs(one - other)) as middle,
+        substr(text, greatest(one, other) + 1) as suffix from drawn
+)
+select doc_id, n, form, case when form <> 'plain' then length(prefix) end as prefix_chars,
+    case when form <> 'plain' then length(middle) end as middle_chars,
+    sha256(case form when 'plain' then text when 'psm' then '<P>' || prefix || '<S>' || suffix || '<M>' || middle
+        else '<S>' || suffix || '<P>' || prefix || '<M>' || middle end) as output_sha256,
+    sha256(case form when 'plain' then text else prefix || middle || suffix end) as restored_sha256
+from cut
+"""
+
+# The checksum of a word from its bytes in hexadecimal, by the table of its polynomial.
+OP13_SQL = f"""
+with polynomial as (
+    select list_transform(range(256), lambda i: list_reduce(range(8), lambda c, k:
+        case when c & 1 = 1 then xor(c >> 1, 3988292384) else c >> 1 end, i)) as steps
+), given as (
+    select 0 as side, doc_id, row_number() over () as row, text from documents union all select 1, null, row_number() over (), text from benchmark
+), split as (
+    select side, doc_id, row, regexp_extract_all(translate(coalesce(text, ''), '{urls.UPPER}', '{urls.LOWER}'),
+        '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') as words from given
+), word as (
+    select side, row, unnest(words) as word from split
+), bucket as (
+    select word, xor(4294967295, list_reduce(
+        list_transform(range(0, length(h) // 2), lambda i: ('0x' || substr(h, 2 * i + 1, 2))::bigint),
+        lambda c, b: xor(steps[(xor(c, b) & 255) + 1], c >> 8), 4294967295::bigint)) % {resampling.BINS} as bucket
+    from (select word, hex(encode(word)) as h from (select distinct word from word)), polynomial
+), tally as (
+    select bucket, (count(*) filter (side = 0))::double as s, (count(*) filter (side = 1))::double as t
+    from word join bucket using (word) group by bucket
+), total as (
+    select (count(*) filter (side = 0))::double as s_all, (count(*) filter (side = 1))::double as t_all from word
+), gain as (
+    select bucket, floor(1000 * ln((t + 1) * (s_all + {resampling.BINS}) / ((s + 1) * (t_all + {resampling.BINS}))))::bigint as gain from tally, total
+), weighed as (
+    select row, sum(gain) as weight from word join bucket using (word) join gain using (bucket) where side = 0 group by row
+), scored as (
+    select doc_id, row, len(words) as n, coalesce(weight, 0) as weight, coalesce(weight, 0) + floor(-1000 * ln(-ln(
+        (('0x' || substr(sha256('{resampling.SEED}:' || doc_id), 1, 8))::bigint + 0.5) / 4294967296)))::bigint as score
+    from split left join weighed using (row) where side = 0
+), placed as (
+    select row, row_number() over (order by score desc, doc_id) as rank, count(*) over () as n_fit
+    from scored where n >= {resampling.LEAST_WORDS}
+)
+select doc_id, n::bigint as n_features, weight::bigint as weight, score::bigint as score,
+    case when rank <= {resampling.PERCENT} * n_fit // 100 then rank end as rank
+from scored left join placed using (row)
+"""
+
 ORACLES: dict[str, str] = {
     "op9_url_filters": OP9_SQL,
     "op6_suffix_array_dedup": OP6_SQL,
     "op7_line_dedup": OP7_SQL,
+    "op11_fill_in_middle": OP11_SQL,
+    "op13_importance_resampling": OP13_SQL,
 }

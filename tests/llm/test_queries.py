@@ -17,12 +17,15 @@ COLUMNS = {
     "op8": ["doc_id", "expected_grade", "tail_probability", "selected"],
     "op9": ["page_id", "host", "path", "rule", "verdict"],
     "op10": ["doc_id", "held_out", "score", "predicted"],
+    "op11": ["doc_id", "n", "form", "prefix_chars", "middle_chars", "output_sha256", "restored_sha256"],
+    "op12": ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"],
+    "op13": ["doc_id", "n_features", "weight", "score", "rank"],
 }
-EVERY_DOCUMENT = ("op1", "op4", "op6", "op8", "op10")
+EVERY_DOCUMENT = ("op1", "op4", "op6", "op8", "op10", "op11", "op12", "op13")
 
 
 def test_one_query_for_each_operator():
-    assert [name.split("_")[0] for name in QUERIES] == [f"op{n}" for n in range(1, 11)]
+    assert [name.split("_")[0] for name in QUERIES] == [f"op{n}" for n in range(1, 14)]
 
 
 @pytest.mark.parametrize("name", sorted(QUERIES))
@@ -38,7 +41,7 @@ def test_columns_and_rows(spark, name):
         assert {r[0] for r in rows} == documents
     if name in ORACLES:
         duck = duckdb.connect()
-        for table in ("documents", "pages"):
+        for table in ("documents", "pages", "benchmark"):
             duck.execute(f"create view {table} as select * from '{SF_DIR}/{table}.parquet'")
         found = duck.execute(ORACLES[name])
         names = [c[0] for c in found.description]
