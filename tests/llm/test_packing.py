@@ -87,6 +87,48 @@ def test_plan_against_the_best_possible():
     assert packing.plan({100: 7, 1: 3}, 100).n_sequences == 8
 
 
+def documents_like(n, seed):
+    """Lengths as of prose: most documents short, many last pieces of any length."""
+    rng = np.random.default_rng(seed)
+    lengths = np.where(rng.random(n) < 0.5, rng.integers(1, 1024, n), np.minimum(rng.lognormal(5, 1, n), 1023))
+    return {int(k): int(c) for k, c in zip(*np.unique(np.maximum(lengths, 1).astype(int), return_counts=True))}
+
+
+@pytest.mark.parametrize("n", [5_000, 500_000])
+def test_program_converges_and_packs_nearly_all(n):
+    histogram = documents_like(n, 1)
+    made = packing.plan({**histogram, 1024: 77}, 1024)
+    assert made.n_full == 77
+    assert made.value <= made.bound * (1 + packing.GAP)
+    least = sum(k * c for k, c in histogram.items()) / 1024
+    assert made.bound >= 0.99 * least and made.n_program + made.n_rest <= 1.01 * least + 2
+    assert made.n_rest <= 0.05 * made.n_sequences
+
+
+def test_bound_holds_where_tokens_say_little():
+    """Only ten of a thousand can be filled up: the bound must see it, not count tokens."""
+    solution = packing.configurations({700: 1000, 300: 10}, 1024)
+    assert 990 <= solution.bound <= 1000 + 1e-6 and solution.value == pytest.approx(1000, rel=1e-3)
+    made = packing.plan({700: 1000, 300: 10}, 1024)
+    assert made.n_sequences == 1000
+
+
+def test_solution_covers_and_rounding_takes_what_is_there():
+    histogram = documents_like(3_000, 2)
+    solution = packing.configurations(histogram, 1024)
+    covered = Counter()
+    for members, use in solution.uses.items():
+        assert sum(k * n for k, n in members) <= 1024
+        for k, n in members:
+            covered[k] += n * use
+    assert all(covered[k] == pytest.approx(n, rel=1e-4) for k, n in histogram.items())
+    left = dict(histogram)
+    taken = packing.rounded(solution, left, 1024)
+    assert min(left.values()) >= 0
+    for k, n in histogram.items():
+        assert left[k] + sum(times * dict(members).get(k, 0) for members, times in taken) == n
+
+
 def test_best_fit_alone():
     groups = packing.best_fit({6: 3, 4: 2, 3: 1, 1: 9}, 10)
     assert sum(n for _, n in groups) == 4
@@ -106,6 +148,22 @@ def test_empty_repeats_and_extra_columns(spark):
     assert packing.pack(docs.limit(0)).count() == 0
 
 
+def test_one_document_repeated_many_times(spark):
+    """All rows alike: shares of a length are dealt by the pieces' numbers."""
+    docs = spark.range(400).selectExpr("cast(null as bigint) as doc_id", "'the same text' as text")
+    rows = packing.pack(docs, capacity=64, share_rows=16).collect()
+    assert len(rows) == 400 and len({(r.sequence_id, r.offset) for r in rows}) == 400
+    plan = packing.pack(docs, capacity=64, share_rows=16)._jdf.queryExecution().optimizedPlan().toString()
+    assert "xxhash64(number" in plan
+
+
+def test_special_strings_on_request(spark):
+    docs = spark.createDataFrame([(1, "a <|endoftext|> b")], "doc_id bigint, text string")
+    ids = packing.pieces(docs, with_ids=True, special={"<|endoftext|>": 50256}).first().ids
+    assert ids == [64, 220, 50256, 275, packing.END_ID]
+    assert packing.pieces(docs, with_ids=True).first().ids == ids_of("a <|endoftext|> b")
+
+
 def test_runs_of_white_space_longer_than_the_pattern_can_take(spark):
     n = 1_500_000
     texts = {0: " " * n, 1: "a b" + " " * n + "word", 2: "x" + "\n" * n + "y", 3: "é\n" + " \n" * (n // 2) + "\n…",
