@@ -27,7 +27,7 @@ from pyspark.sql import functions as F
 
 from dosewise.llm.batches import segment_sums, text_slices
 from dosewise.llm.components import components
-from dosewise.llm.tables import in_small_batches, same, stored
+from dosewise.llm.tables import drop, in_small_batches, stored
 
 BYTES = 8
 SHINGLE = 3
@@ -100,9 +100,11 @@ def links(classes: DataFrame, max_bits: int = MAX_BITS, list_limit: int = LIST_L
     ])
     postings = classes.select("fingerprint", F.explode(opened).alias("posting"))
     postings = postings.select("fingerprint", "posting.list", "posting.key")
-    # A list of one has no pair: most postings end here, before any join of their rows.
-    sizes = postings.groupBy("list", "key").agg(F.count("*").alias("n")).where("n > 1")
+    # A list of one has no pair: most postings end here, before any join of their rows. The
+    # sizes are written, so that the join does not keep a list in one task, as their sum does.
+    sizes = stored(postings.groupBy("list", "key").agg(F.count("*").alias("n")).where("n > 1"), "sizes")
     open_lists = stored(postings.join(sizes, ["list", "key"]), "postings")
+    drop(sizes)
 
     short = open_lists.where(F.col("n") <= list_limit)
     left = short.select("list", "key", F.col("fingerprint").alias("u"))
@@ -146,7 +148,7 @@ def near_duplicates(
     classes = stored(prints.groupBy("fingerprint").agg(F.min("doc_id").alias("first")), "classes")
     roots = components(links(classes, max_bits, list_limit))
     linked = classes.join(roots, classes.fingerprint == roots.node)
-    least = linked.groupBy("root").agg(F.min("first").alias("component_id"))
+    least = stored(linked.groupBy("root").agg(F.min("first").alias("component_id")), "least")
     moved = roots.join(least, "root").select(F.col("node").alias("fingerprint"), F.col("component_id").alias("least"))
     labels = classes.join(moved, "fingerprint", "left")
     labels = labels.select("fingerprint", F.coalesce("least", "first").alias("component_id"))
@@ -161,7 +163,8 @@ def hex_fingerprint(value: Column) -> Column:
 
 def keep_one(docs: DataFrame, shingle: int = SHINGLE, max_bits: int = MAX_BITS) -> DataFrame:
     """``docs`` with one row of each near-duplicate component: that of the least doc_id,
-    and of several such rows that with the least text hash; equal rows become one row.
+    and of several such rows that with the least text hash. Of rows alike in id and text the
+    one stays whose other columns have the least hash (maps have no hash and do not count).
 
     Components are told apart by their fingerprints: ids may be null or repeated.
     """
@@ -173,6 +176,14 @@ def keep_one(docs: DataFrame, shingle: int = SHINGLE, max_bits: int = MAX_BITS)
     root = F.coalesce("root", "fingerprint").alias("root")
     rooted = classes.join(roots, classes.fingerprint == roots.node, "left").select(root, "first")
     kept = rooted.groupBy("root").agg(F.min("first").alias("kept"))
-    kept = kept.select(F.col("kept.doc_id").alias("kept_id"), F.col("kept.text_h").alias("kept_h")).distinct()
-    mine = same(F.col("doc_id"), F.col("kept_id")) & (F.xxhash64("text") == F.col("kept_h"))
-    return docs.join(kept, mine, "left_semi").dropDuplicates(["doc_id", "text"])
+    kept = stored(kept.select(F.col("kept.doc_id").alias("kept_id"), F.col("kept.text_h").alias("kept_h")).distinct(), "kept")
+    # Columns of either frame by name would be ambiguous if documents have a kept_id too.
+    mine = docs["doc_id"].eqNullSafe(kept["kept_id"]) & (F.xxhash64(docs["text"]) == kept["kept_h"])
+    found = docs.join(kept, mine, "left_semi")
+    others = [c for c in docs.columns if c.lower() not in ("doc_id", "text")]
+    if not others:
+        return found.distinct()
+    hashed = [f"`{f.name}`" for f in docs.schema if f.name in others and "map<" not in f.dataType.simpleString()]
+    rest = F.struct(*[f"`{c}`" for c in others])
+    least = found.groupBy("doc_id", "text").agg(F.min_by(rest, F.xxhash64(F.lit(0), *hashed)).alias("rest"))
+    return least.select(*["doc_id" if c.lower() == "doc_id" else "text" if c.lower() == "text" else F.col("rest")[c].alias(c) for c in docs.columns])

@@ -25,17 +25,43 @@ def shared_folder(spark: SparkSession) -> str:
     return folder.rstrip("/")
 
 
+def run_folder(spark: SparkSession) -> str:
+    """The folder of all tables that this application has written with ``stored``."""
+    return f"{shared_folder(spark)}/tables-{spark.sparkContext.applicationId}"
+
+
 def stored(df: DataFrame, name: str) -> DataFrame:
     """``df`` written once to the shared folder and read from there.
 
-    Later steps read files that outlive executors, so nothing upstream runs twice.
+    Later steps read files that outlive executors, so nothing upstream runs twice. Results
+    read such tables, so they stay until ``drop_run`` or whoever owns the folder deletes them.
     """
     spark = df.sparkSession
-    path = f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
+    path = f"{run_folder(spark)}/{name}-{uuid.uuid4().hex}"
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
+def _delete(spark: SparkSession, path: str) -> None:
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    place.getFileSystem(spark._jsc.hadoopConfiguration()).delete(place, True)
+
+
+def drop(*tables: DataFrame) -> None:
+    """Delete the files of tables made by ``stored`` that nothing reads any more."""
+    for table in tables:
+        spark = table.sparkSession
+        own = run_folder(spark).rsplit("/", 1)[1]
+        for path in {file.rsplit("/", 1)[0] for file in table.inputFiles()}:
+            if f"/{own}/" in path:
+                _delete(spark, path)
+
+
+def drop_run(spark: SparkSession) -> None:
+    """Delete every table that this application has stored: once its results are written."""
+    _delete(spark, run_folder(spark))
+
+
 def in_small_batches(df: DataFrame) -> DataFrame:
     """``df``, to be handed to Python in Arrow batches of a few MB.
 

@@ -97,3 +97,19 @@ def test_one_row_a_component_whatever_the_ids(spark):
     kept = sorted(((r.doc_id or -1), r.text) for r in simhash.keep_one(docs).collect())
     assert kept == [(-1, "one two three four"), (-1, "some quite other words here"),
                     (7, "a second and unlike one"), (7, "first text of seven"), (8, "eight")]
+
+
+def test_columns_with_any_name_and_rows_alike_in_id_and_text(spark):
+    names = ["kept_id", "kept_h", "fingerprint", "first", "root", "node", "rest", "text_h"]
+    schema = "doc_id bigint, text string, " + ", ".join(f"{n} string" for n in names) + ", more map<string,int>"
+    rows = [(1, "one two three four", *[x + n for n in names], {"k": 1}) for x in "zyxzz"]
+    rows += [(2, "one two three four", *names, None), (3, "quite another text of words", *names, None)]
+    docs = spark.createDataFrame(rows, schema)
+    kept = simhash.keep_one(docs)
+    assert kept.columns == docs.columns
+    found = {r.doc_id: r for r in kept.collect()}
+    assert len(found) == 2 and found[3].rest == "rest"
+    hashes = {r.kept_id: r.h for r in docs.where("doc_id = 1").select("kept_id", F.xxhash64(F.lit(0), *names).alias("h")).collect()}
+    assert found[1].kept_id == min(hashes, key=hashes.get)
+    for _ in range(2):  # whatever the order of the rows
+        assert {r.doc_id: r.kept_id for r in simhash.keep_one(docs.repartition(5)).collect()} == {i: r.kept_id for i, r in found.items()}
