@@ -43,21 +43,21 @@ vaccine_patient AS (
     SELECT o_custkey AS patient,
            CAST(date_trunc('month', o_orderdate) AS DATE) + CAST(o_orderkey % 5 AS INTEGER) AS date,
            min(o_orderkey % n) AS hospital
-    FROM orders, n_hospitals WHERE o_orderpriority = '1-URGENT'
+    FROM orders, n_hospitals
     GROUP BY 1, 2),
 vaccination_event AS (
     SELECT date, hospital, ((date - DATE '1995-01-01') * 10 + hospital) % (SELECT count(*) FROM part) AS batch
-    FROM (SELECT CAST(date_trunc('month', o_orderdate) AS DATE) + CAST(o_orderkey % 5 AS INTEGER) AS date,
+    FROM (SELECT CAST(date_trunc('month', o_orderdate) AS DATE) + CAST(o_orderkey % 5 AS INTEGER)
+                 + CASE WHEN month(o_orderdate) = 12 THEN 1 ELSE 0 END AS date,
                  o_orderkey % n AS hospital
-          FROM orders, n_hospitals WHERE o_orderstatus IN ('F', 'O')
+          FROM orders, n_hospitals
           UNION
           SELECT DATE '1998-12-07' + CAST(k AS INTEGER) AS date, s_suppkey AS hospital
           FROM supplier, range(7) AS w(k))),
 diagnosis AS (
     SELECT DISTINCT o_custkey AS patient, concat('S', CAST(floor(sqrt(p_size)) AS INTEGER)) AS symptom,
            CAST(l_shipdate AS DATE) AS date
-    FROM lineitem JOIN orders ON l_orderkey = o_orderkey JOIN part ON l_partkey = p_partkey
-    WHERE l_returnflag = 'R'),
+    FROM lineitem JOIN orders ON l_orderkey = o_orderkey JOIN part ON l_partkey = p_partkey),
 symptoms AS (
     SELECT concat('S', k) AS name, k >= 6 AS critical
     FROM (SELECT CAST(floor(sqrt(p_size)) AS INTEGER) AS k FROM part
