@@ -89,7 +89,19 @@ def misplaced_batches(t: Tables) -> DataFrame:
     )
 
 
-EVENT_BUCKETS = 16
+PAIRS_PER_TASK = 1 << 16
+
+
+def _event_buckets(t: Tables, events: DataFrame, pairs_per_task: int) -> DataFrame:
+    """``hospital, n_buckets``: into how many tasks the pairs of doses and events of a hospital
+    go, from counts of both. Most have one, and nothing of theirs is copied; a bucket keeps two
+    events or more, so that copies stay fewer than half the pairs."""
+    doses = t["vaccine_patient"].groupBy("hospital").agg(F.count("*").alias("n_doses"))
+    held = events.groupBy("hospital").agg(F.count("*").alias("n_events"))
+    pairs = F.col("n_doses").cast("double") * F.col("n_events")
+    needed = F.least(F.ceil(pairs / pairs_per_task), F.ceil(F.col("n_events") / 2)).cast("int")
+    # By number of buckets, so that a join by hospital shuffles anew, and can then be split.
+    return doses.join(held, "hospital").select("hospital", needed.alias("n_buckets")).repartition("n_buckets")
 
 
 def critical_exposure(
@@ -97,6 +109,7 @@ def critical_exposure(
     after: Date = Date(2021, 5, 10),
     exact_event: bool = False,
     ordered: bool = True,
+    pairs_per_task: int = PAIRS_PER_TASK,
 ) -> DataFrame:
     """Batches that patients with a critical symptom after ``after`` may have met.
 
@@ -106,9 +119,9 @@ def critical_exposure(
 
     Copies travel as a number. Diagnoses and doses are counted per patient before
     they meet, so no join sees a patient with many of both, and rows are written out
-    only at the end. By default a hospital's exposed patients all meet all its events;
-    events are dealt into buckets by date, and patients go to each, so that a hospital
-    with a third of the doses is that many tasks' work.
+    only at the end. By default a hospital's exposed patients all meet all its events:
+    events are dealt by date into as many buckets as the hospital's doses times its events
+    need, and patients go to each. A hospital with a third of the doses is many tasks' work.
     """
     site = ["hospital", "date"] if exact_event else ["hospital"]
     critical = t["symptoms"].where("critical").select(F.col("name").alias("symptom"))
@@ -133,10 +146,11 @@ def critical_exposure(
     )
     events = event_products(t).select("hospital", "date", F.col("batch").alias("id"), "vaccine_type")
     if not exact_event:
-        bucket = F.pmod(F.xxhash64("date"), F.lit(EVENT_BUCKETS)).cast("int")
-        events = events.withColumn("_bucket", bucket)
-        every = F.explode(F.sequence(F.lit(0), F.lit(EVENT_BUCKETS - 1)))
-        exposed = exposed.withColumn("_bucket", every)
+        buckets = _event_buckets(t, events, pairs_per_task)
+        bucket = F.pmod(F.xxhash64("date"), F.col("n_buckets")).cast("int")
+        events = events.join(buckets, "hospital").withColumn("_bucket", bucket).drop("n_buckets")
+        every = F.explode(F.sequence(F.lit(0), F.col("n_buckets") - 1))
+        exposed = exposed.join(buckets, "hospital").withColumn("_bucket", every).drop("n_buckets")
         site = [*site, "_bucket"]
     order = ["ssn", "date", "hospital"] if ordered else []
     rows = repeat_rows(exposed.join(events, site), "n_copies", order)

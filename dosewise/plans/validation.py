@@ -2,21 +2,33 @@
 
 from __future__ import annotations
 
+from dataclasses import dataclass
 from functools import reduce
 from operator import and_
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from dosewise.sources.contracts import CONTRACTS, Contract, Reference
+from dosewise.sources.contracts import CONTRACTS, TYPES, Contract, Reference
 from dosewise.sources.tables import Tables
 
 NOT_NULL, KEY, REFERENCE, CHECK = "not null", "primary key", "foreign key", "check"
 
 
-def _key_text(columns: tuple[str, ...] | list[str]) -> Column:
-    """A key as an array of texts, so that keys of all tables fit one column."""
-    return F.array(*[F.col(c).cast("string") for c in columns])
+# Seeds of the two halves of a key's hash and of its check.
+HALVES = (11, 12)
+
+
+@dataclass(frozen=True)
+class Rule:
+    """``place`` is where a rule's rows meet, ``slot`` what stands for the rule there."""
+
+    contract: Contract
+    name: str
+    kind: str
+    place: int
+    slot: int
+    reference: Reference | None = None
 
 
 def _own_order(ref: Reference) -> list[str]:
@@ -27,43 +39,56 @@ def _own_order(ref: Reference) -> list[str]:
     return [paired[c] for c in CONTRACTS[ref.parent].key]
 
 
-def _rules(t: Tables) -> list[tuple[Contract, str, str, Reference | None]]:
-    """``(contract, constraint, kind, reference)`` of every rule whose tables are given."""
-    rules: list[tuple[Contract, str, str, Reference | None]] = []
-    for contract in (CONTRACTS[name] for name in t):
-        rules += [(contract, c, NOT_NULL, None) for c in contract.columns]
-        rules += [(contract, c, CHECK, None) for c in contract.row_checks]
-        rules.append((contract, ", ".join(contract.key), KEY, None))
-        rules += [(contract, r.label, REFERENCE, r) for r in contract.references if r.parent in t]
-    return rules
+def _rules(t: Tables) -> list[Rule]:
+    """Every rule whose tables are given.
 
+    Keys of a table, and references to it, meet at the table's number: the key in slot 0.
+    What a row breaks by itself is a bit of one number, at a place of the table's own.
+    """
+    number = {name: i for i, name in enumerate(t)}
+    slots = dict.fromkeys(number, 0)
+    rules: list[Rule] = []
+    for name in t:
+        contract, place = CONTRACTS[name], len(number) + number[name]
+        single = [(c, NOT_NULL) for c in contract.columns] + [(c, CHECK) for c in contract.row_checks]
+        rules += [Rule(contract, rule, kind, place, bit) for bit, (rule, kind) in enumerate(single)]
+        rules.append(Rule(contract, ", ".join(contract.key), KEY, number[name], 0))
+        for ref in contract.references:
+            if ref.parent in t:
+                slots[ref.parent] += 1
+                rules.append(Rule(contract, ref.label, REFERENCE, number[ref.parent], slots[ref.parent], ref))
+    return rules
 
-Numbered = list[tuple[int, Contract, str, str, Reference | None]]
 
+def _meeting(place: int, slot: int, cells: list[Column]) -> Column:
+    # A hash passes over missing cells, so which ones are missing is hashed too.
+    marked = [x for c in cells for x in (c, c.isNull())]
+    one, other = (F.xxhash64(F.lit(seed), *marked) for seed in HALVES)
+    return F.struct(
+        F.lit(place).alias("place"), one.alias("one"), other.alias("other"), F.lit(slot).alias("slot"), F.hash(*marked).alias("check"))
 
-def _keys(df: DataFrame, rules: Numbered) -> DataFrame:
-    """``rule, place, key``: the key of each row and the keys it refers to.
 
-    ``place`` is the table that a key belongs to: there a reference meets the key it
-    points to. A reference with a missing cell says nothing.
-    """
+def _said(df: DataFrame, rules: list[Rule]) -> DataFrame:
+    """``place, one, other, slot, check``: the key of each row, the keys it refers to (one
+    with a missing cell says nothing), and, if it breaks something by itself, what."""
     found = []
-    for number, contract, _, kind, ref in rules:
-        if kind == KEY:
-            place, key = contract.table, _key_text(contract.key)
-        else:
-            own = _own_order(ref)
-            place, key = ref.parent, F.when(reduce(and_, [F.col(c).isNotNull() for c in own]), _key_text(own))
-        found.append(F.struct(F.lit(number).alias("rule"), F.lit(place).alias("place"), key.alias("key")))
-    return df.select(F.inline(F.array(*found))).where("key is not null")
-
-
-def _row_counts(df: DataFrame, rules: Numbered) -> DataFrame:
-    """``rule, found``: rows that break a rule by themselves, all rules in one pass."""
-    broken = {n: F.col(name).isNull() if kind == NOT_NULL else ~F.expr(name) for n, _, name, kind, _ in rules}
-    counts = df.agg(*[F.count_if(said).alias(f"r{n}") for n, said in broken.items()])
-    cells = [F.struct(F.lit(n).alias("rule"), F.col(f"r{n}").alias("found")) for n in broken]
-    return counts.select(F.inline(F.array(*cells)))
+    broken = F.lit(0).cast("bigint")
+    for rule in rules:
+        parent = rule.contract if rule.reference is None else CONTRACTS[rule.reference.parent]
+        if rule.kind in (NOT_NULL, CHECK):
+            wrong = F.col(rule.name).isNull() if rule.kind == NOT_NULL else ~F.expr(rule.name)
+            broken = broken + F.when(wrong, F.lit(1 << rule.slot).cast("bigint")).otherwise(F.lit(0).cast("bigint"))
+            single = rule.place
+            continue
+        own = list(rule.contract.key) if rule.kind == KEY else _own_order(rule.reference)
+        # As the key's type, so that equal keys have equal hashes.
+        cells = [F.col(c).cast(TYPES[parent.columns[k]]) for c, k in zip(own, parent.key)]
+        meeting = _meeting(rule.place, rule.slot, cells)
+        found.append(meeting if rule.kind == KEY else F.when(reduce(and_, [c.isNotNull() for c in cells]), meeting))
+    bits = F.struct(
+        F.lit(single).alias("place"), broken.alias("one"), F.lit(0).cast("bigint").alias("other"), F.lit(0).alias("slot"), F.lit(0).alias("check"))
+    found.append(F.when(broken != 0, bits))
+    return df.select(F.explode(F.array_compact(F.array(*found))).alias("said")).select("said.*")
 
 
 def _together(parts: list[DataFrame]) -> DataFrame:
@@ -77,30 +102,33 @@ def _together(parts: list[DataFrame]) -> DataFrame:
 def validate(t: Tables) -> DataFrame:
     """``(table, constraint, kind, violations)`` for every declared rule, zeros included.
 
-    Two scans per table. One settles what a row breaks by itself. In the other, rows say
-    their keys and references, which are counted before they are shuffled: a key that half
-    the rows point to sends a row per task. Equal keys of one table then meet in a group
-    with at most one row per rule, and a reference without a key in its group is an orphan.
-    Rules whose tables are not given are left out.
+    One scan per table, one shuffle for all. Rows say their keys and references as hashes of
+    128 bits, which are counted by rule before they are shuffled: a key that half the rows
+    point to sends a row per task. Equal keys of one table then meet, and references
+    without a key there are orphans. What a row breaks by itself travels as one number, and
+    only if there is something. Two keys that share a hash would be told apart by a further
+    one; then the job fails. Rules whose tables are not given are left out.
     """
     rules = _rules(t)
-    numbered = [(i, *rule) for i, rule in enumerate(rules)]
-    by_key = {name: [r for r in numbered if r[1].table == name and r[3] in (KEY, REFERENCE)] for name in t}
-    by_row = {name: [r for r in numbered if r[1].table == name and r[3] in (NOT_NULL, CHECK)] for name in t}
-    said = _together([_keys(t[name], by_key[name]) for name in t])
-    counted = said.groupBy("place", "key", "rule").agg(F.count("*").alias("n"))
-    keys = [i for i, (_, _, kind, _) in enumerate(rules) if kind == KEY]
-    met = counted.groupBy("place", "key").agg(
-        F.max(F.col("rule").isin(keys)).alias("known"), F.collect_list(F.struct("rule", "n")).alias("all"))
-    each = met.select("known", F.inline("all"))
-    refused = F.when(F.col("rule").isin(keys), F.col("n") - 1).when(F.col("known"), 0).otherwise(F.col("n"))
-    shared = each.select("rule", refused.alias("found"))
-    single = _together([_row_counts(t[name], by_row[name]) for name in t])
-    totals = shared.union(single).groupBy("rule").agg(F.sum("found").alias("found"))
+    slots = max((r.slot for r in rules if r.kind in (KEY, REFERENCE)), default=0) + 1
+    bits = max(r.slot for r in rules) + 1
+    said = _together([_said(t[name], [r for r in rules if r.contract.table == name]) for name in t])
+    counts = [F.count_if(F.col("slot") == i).alias(f"n{i}") for i in range(slots)]
+    met = said.groupBy("place", "one", "other").agg(F.min("check").alias("low"), F.max("check").alias("high"), *counts)
+    collided = F.raise_error(F.lit("two keys have one hash"))
+    is_key = F.col("place") < len(t)
+    key_rule = F.when(F.col("low") != F.col("high"), collided.cast("bigint")).otherwise(F.greatest(F.col("n0") - 1, F.lit(0)))
+    orphans = [F.sum(F.when(is_key & (F.col("n0") == 0), F.col(f"n{i}"))).alias(f"k{i}") for i in range(1, slots)]
+    broken = [F.sum(F.when(~is_key & (F.col("one").bitwiseAND(F.lit(1 << b)) != 0), F.col("n0"))).alias(f"b{b}") for b in range(bits)]
+    totals = met.groupBy("place").agg(F.sum(F.when(is_key, key_rule)).alias("k0"), *orphans, *broken)
+    cells = [F.struct(F.lit(f"{c}{i}").alias("cell"), F.col(f"{c}{i}").alias("found")) for c, n in (("k", slots), ("b", bits)) for i in range(n)]
+    totals = totals.select("place", F.inline(F.array(*cells)))
     named = F.array(*[
-        F.struct(F.lit(i).alias("rule"), F.lit(c.table).alias("table"), F.lit(name).alias("constraint"), F.lit(kind).alias("kind"))
-        for i, (c, name, kind, _) in enumerate(rules)
+        F.struct(
+            F.lit(r.place).alias("place"), F.lit(f"{'k' if r.kind in (KEY, REFERENCE) else 'b'}{r.slot}").alias("cell"),
+            F.lit(r.contract.table).alias("table"), F.lit(r.name).alias("constraint"), F.lit(r.kind).alias("kind"))
+        for r in rules
     ])
-    every = t[rules[0][0].table].sparkSession.range(1).select(F.inline(named))
-    report = every.join(totals, "rule", "left")
+    every = t[rules[0].contract.table].sparkSession.range(1).select(F.inline(named))
+    report = every.join(totals, ["place", "cell"], "left")
     return report.select("table", "constraint", "kind", F.coalesce("found", F.lit(0)).cast("bigint").alias("violations"))

@@ -4,14 +4,10 @@ from __future__ import annotations
 
 from collections.abc import Callable, Iterator, Mapping, Sequence
 
-from functools import reduce
-from operator import and_
-
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
+from dosewise.sources.commits import Appended, append_new
 from dosewise.sources.contracts import CONTRACTS, Contract
 from dosewise.sources.ingest import ingest
 
@@ -46,32 +42,23 @@ def write_table(
     fmt: str = "parquet",
     partition_by: Sequence[str] = (),
     keys: Sequence[str] = (),
-) -> None:
+) -> Appended | None:
     """Append rows to a stored table or replace it.
 
     With ``keys``, an append leaves out rows whose key is stored already, as a table with
-    that key would: writing the same rows again adds nothing. Missing key cells compare
-    as equal. Keys that repeat within ``df`` are for the validator to report.
+    that key would, and returns what it added and which rows it left out (``append_new``):
+    writing the same rows again adds nothing and says so. Missing key cells compare as
+    equal. Keys that repeat within ``df`` are for the validator to report.
     """
     if mode not in WRITE_MODES:
         raise ValueError(f"mode must be one of {WRITE_MODES}, not {mode!r}")
     if keys and mode == "append":
-        df = _new_rows(df, path, fmt, keys)
+        return append_new(df, path, keys, fmt, partition_by)
     writer = df.write.mode(mode).format(fmt)
     if partition_by:
         writer = writer.partitionBy(*partition_by)
     writer.save(path)
-
-
-def _new_rows(df: DataFrame, path: str, fmt: str, keys: Sequence[str]) -> DataFrame:
-    stored = df.sparkSession.read.format(fmt).schema(df.schema)
-    try:
-        known = stored.load(path).select(*[F.col(k).alias(f"_stored_{k}") for k in keys]).distinct()
-    except AnalysisException as error:
-        if error.getCondition() != "PATH_NOT_FOUND":
-            raise
-        return df
-    return df.join(known, reduce(and_, [F.col(k).eqNullSafe(F.col(f"_stored_{k}")) for k in keys]), "left_anti")
+    return None
 
 
 class Tables(Mapping[str, DataFrame]):
@@ -117,12 +104,15 @@ class Tables(Mapping[str, DataFrame]):
     def replaced(self, **frames: DataFrame) -> Tables:
         return Tables({**self._frames, **frames})
 
-    def save(self, root: str, mode: str = "append") -> None:
+    def save(self, root: str, mode: str = "append") -> dict[str, Appended]:
         """Write every table, parents before the tables that refer to them. An append
-        leaves out rows whose key is stored already, so a second load adds nothing."""
+        leaves out rows whose key is stored already, so a second load adds nothing; it
+        returns by table what was added and which rows were left out."""
+        done = {}
         for name, contract in CONTRACTS.items():
             if name in self:
-                write_table(self[name], f"{root}/{name}", mode, keys=contract.key)
+                done[name] = write_table(self[name], f"{root}/{name}", mode, keys=contract.key)
+        return {name: appended for name, appended in done.items() if appended is not None}
 
     def create_views(self) -> None:
         """Session views under the table names, for ad-hoc ``spark.sql``."""

@@ -31,10 +31,12 @@ def append_stream(
     """Start the append of a streaming sheet to the table at ``path``.
 
     Each micro-batch is an ordinary append that leaves out rows whose key the table has
-    already (``write_table(keys=...)``). So the table holds plain files that batch loads
-    and streams may write in any order, and no row depends on the progress log: a batch
-    that is replayed, a log that was lost or a second log for the same table cost a
-    second look at the files, and add nothing twice.
+    already (``write_table(keys=...)``), and is seen whole or not at all. It reads the parts
+    of the key index that its own keys fall into, not the table. So the table holds plain
+    files that batch loads and streams may write in any order, and no row depends on the
+    progress log: a batch that is replayed, a log that was lost or a second log for the
+    same table cost a second look at the files, and add nothing twice. Rows left out are
+    kept beside the table (``refused_rows``).
 
     Progress is kept in ``checkpoint``, by default under the shared checkpoint folder by
     table and normalised path; a restart, also after lost executors, goes on where it

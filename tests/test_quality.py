@@ -1,6 +1,6 @@
 from conftest import rows
 
-from dosewise import CONTRACTS
+from dosewise import CONTRACTS, Tables
 from dosewise.operators import quality
 from dosewise.plans.validation import validate
 
@@ -84,3 +84,23 @@ def test_violating_rows(tables):
     assert rows(quality.fk_violations(t["batch"], t["hospital"], {"hospital": "name"})) == [("H9", 1)]
     failed = quality.check_violations(t["batch"], contract.checks)
     assert rows(failed, "id", "failed") == [("b1", "num_of_vacc > 0"), ("b1", "prod_date < exp_date")]
+
+
+def test_keys_with_missing_cells_stay_apart(tables):
+    """A missing cell is no other cell: (x, NULL) and (NULL, x) are different keys."""
+    shifts = [("H1", None, "s1"), ("H1", "s1", None), ("H1", None, "s1"), (None, None, None), (None, None, None)]
+    found = broken(tables(**{**CLEAN, "vaccination_shift": CLEAN["vaccination_shift"] + shifts}))
+    assert ("vaccination_shift", "worker, weekday, hospital", "primary key", 2) in found
+    assert ("vaccination_shift", "weekday", "not null", 4) in found
+
+
+def test_one_key_with_most_rows_and_many_references(tables):
+    doses = [("p1", "2021-05-10", "H1")] * 400 + [("p2", "2021-05-10", "H1")] * 300
+    found = broken(tables(**{**CLEAN, "vaccine_patient": doses}))
+    assert found == [("vaccine_patient", "patient -> patient", "foreign key", 300), ("vaccine_patient", "patient, date", "primary key", 698)]
+
+
+def test_some_tables_only(tables):
+    t = tables(**CLEAN)
+    report = validate(Tables({name: t[name] for name in ("staff", "patient", "diagnosis")}))
+    assert {r.constraint for r in report.where("kind = 'foreign key'").collect()} == {"patient -> patient"}
