@@ -2,8 +2,12 @@
 
 Every vector is projected to a few dimensions, by another rotation and shift for each
 curve, and lies on that Hilbert curve at a key. Spark sorts each curve by key in ranges. A
-query meets the vectors whose places on a curve are within ``WINDOW`` (a share of all) of
-its own; the curves' finds are merged and ranked by exact inner products.
+query meets the vectors whose places on a curve are within some rows of its own; the
+curves' finds are merged and ranked by exact inner products. How many rows is measured: for
+a bounded sample of the queries the true neighbours are found by a scan, and the reach is
+the least with which ``TARGET`` of them stand near enough on one curve at least. Where vectors
+have clusters that is a few hundred rows, whatever the size of the table; without any
+structure it is a share of the table, and the curves cost more than a scan.
 
 Inner products become distances by one more dimension that evens out the norms of the
 vectors; queries have zero there. Equal vectors are one entry of the index, so a vector
@@ -23,8 +27,9 @@ from dosewise.llm.tables import in_small_batches, stored
 
 CURVES = 16
 AXES, BITS = 8, 6
-WINDOW = 0.04
-BLOCK = 2048
+TARGET = 0.95  # share of the true neighbours within reach, by the sample
+SAMPLE = 64  # queries whose true neighbours are found
+LEAST_BLOCK, BLOCK = 64, 2048  # rows that are compared together: about a reach, within these
 CHUNK = 16384  # queries that meet a block in one task
 SPREAD = 3.0  # standard deviations of a projected vector that a curve covers
 SEED = 7
@@ -126,13 +131,68 @@ def _nearest(table: pa.Table, k: int) -> pa.Table:
     return pa.table({"query": pa.array(columns[0]), "entry": pa.array(columns[1]), "score": pa.array(columns[2])})
 
 
+def _scanned(batches: Iterator[pa.RecordBatch], asked: np.ndarray, owners: np.ndarray, k: int) -> Iterator[pa.RecordBatch]:
+    """The ``k`` best entries of one partition for each of a few queries."""
+    scores, entries = np.zeros((len(asked), 0)), np.zeros(0, np.int64)
+    for batch in batches:
+        if batch.num_rows == 0:
+            continue
+        found = asked @ _matrix(batch.column("vector")).T
+        own = batch.column("entry").to_numpy()
+        found[owners[:, None] == own[None, :]] = -np.inf
+        scores = np.concatenate([scores, found], axis=1)
+        entries = np.concatenate([np.broadcast_to(entries, (len(asked), entries.shape[-1])), np.broadcast_to(own, found.shape)], axis=1)
+        if scores.shape[1] > k:
+            best = np.argpartition(-scores, k - 1, axis=1)[:, :k]
+            scores, entries = np.take_along_axis(scores, best, 1), np.take_along_axis(entries, best, 1)
+    if scores.shape[1]:
+        query = np.repeat(owners, scores.shape[1])
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(query), pa.array(np.ascontiguousarray(entries).ravel()), pa.array(scores.ravel())], ["query", "entry", "score"])
+
+
+def _reach(entries: DataFrame, placed: DataFrame, k: int, target: float, sample: int) -> int:
+    """Rows to either side of a query within which the share ``target`` of true neighbours is.
+
+    At most ``sample`` queries are scanned for, and their neighbours' places collected.
+    """
+    some = entries.where("asks").orderBy(F.xxhash64("entry"), "entry").limit(sample).select("entry", "vector").collect()
+    asked = np.array([r.vector for r in some], np.float64)
+    owners = np.array([r.entry for r in some], np.int64)
+    sent = entries.sparkSession.sparkContext.broadcast((asked, owners))
+    near = in_small_batches(entries.select("entry", "vector")).mapInArrow(
+        lambda batches: _scanned(batches, *sent.value, k), "query bigint, entry bigint, score double")
+    best = Window.partitionBy("query").orderBy(F.desc("score"), "entry")
+    near = near.where("score > -1e300").withColumn("turn", F.row_number().over(best)).where(F.col("turn") <= k)
+    pairs = [(r.query, r.entry) for r in near.select("query", "entry").collect()]  # sample x k
+    if not pairs:
+        return 1
+    wanted = placed.sparkSession.createDataFrame(
+        sorted({(x, 0) for _, x in pairs} | {(q, 1) for q, _ in pairs}), "entry bigint, role int")
+    rows = placed.join(F.broadcast(wanted), ["entry", "role"]).select("curve", "entry", "role", "place").collect()
+    places: dict[tuple[int, int], dict[int, int]] = {}
+    for r in rows:
+        places.setdefault((r.entry, r.role), {})[r.curve] = r.place
+    apart = sorted(min(abs(places[q, 1][c] - at) for c, at in places[x, 0].items()) for q, x in pairs)
+    return max(1, apart[int(np.ceil(target * len(apart))) - 1])
+
+
 def search(
-    vectors: DataFrame, asks: str, k: int = 20, window: float = WINDOW, curves: int = CURVES, block: int = BLOCK
+    vectors: DataFrame,
+    asks: str,
+    k: int = 20,
+    window: float | None = None,
+    curves: int = CURVES,
+    block: int | None = None,
+    target: float = TARGET,
+    sample: int = SAMPLE,
 ) -> DataFrame:
     """``query_id, rank, vec_id, score``: the ``k`` nearest found for every row of
     ``vectors(vec_id, embedding)`` for which the SQL condition ``asks`` on ``vec_id`` holds.
 
     Nearest is the largest inner product in double precision; ties go to the smaller id.
+    The reach of a query along a curve is measured (``target``, ``sample``), unless ``window`` gives it
+    as a share of all rows; ``block`` is the number of rows that are compared together.
     Rows take no part if the id or the vector is null, or the vector is zero, has a null or
     non-finite component or not as many as most rows (of equally frequent sizes the larger
     counts). Repeated rows count once; an id with several vectors asks with each, and gets
@@ -169,7 +229,13 @@ def search(
     placed = ordered.withColumn("part", part).join(before, "part").select(
         "curve", "entry", "role",
         (F.col("before") + F.col("at").bitwiseAND(F.lit((1 << 33) - 1)) - F.col("curve") * F.lit(length)).alias("place"))
-    reach = int(np.ceil(window * length))
+    if window is None:
+        placed = stored(placed, "places")
+        reach = _reach(entries, placed, k, target, sample)
+    else:
+        reach = int(np.ceil(window * length))
+    if block is None:
+        block = int(np.clip(1 << int(reach).bit_length(), LEAST_BLOCK, BLOCK))
     n_blocks = -(-length // block)
     n_chunks = -(-(2 * reach + block) * asking // (length * CHUNK))
     chunk = F.pmod(F.xxhash64("entry"), F.lit(n_chunks))
@@ -196,6 +262,8 @@ def search(
     members = rows.withColumn("turn", F.row_number().over(few)).where(F.col("turn") <= k + 1).drop("turn")
     nearest = Window.partitionBy("query").orderBy(F.desc("score"), "vec_id")
     lists = near.join(members, "entry").withColumn("turn", F.row_number().over(nearest)).where(F.col("turn") <= k + 1)
+    # Written out: next to the window the join would keep all rows that ask with one vector in one task.
+    lists = stored(lists, "lists")
     asked = rows.where(F.expr(asks)).select(F.col("vec_id").alias("query_id"), F.col("entry").alias("query"))
     # Without itself, a query has k left of the k + 1, if there are so many.
     found = asked.join(lists.select("query", "vec_id", "score"), "query").where("vec_id <> query_id")

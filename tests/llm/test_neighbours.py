@@ -106,3 +106,42 @@ def test_a_stray_size_drops_out_and_not_the_table(spark):
     assert lists(neighbours.search(frame(spark, rows[:1] + rows[3:4]), "vec_id >= 0")) == {}
     even = rows[:2] + [(5, [1.0, 0.0, 1.0]), rows[3]]
     assert lists(neighbours.search(frame(spark, even), "vec_id = 5 or vec_id = 0")) == {5: [(3, 6.0)]}
+
+
+def test_clusters_need_few_rows_whatever_the_table(spark, monkeypatch):
+    """50,000 rows in clusters: fewer than half a scan is compared, at the settings in use."""
+    rng = np.random.default_rng(4)
+    n = 50_000
+    centres = rng.normal(size=(500, 32))
+    x = centres[rng.integers(0, 500, n)] + 0.15 * rng.normal(size=(n, 32))
+    x = (x / np.linalg.norm(x, axis=1, keepdims=True)).astype(np.float32)
+    reaches = []
+    measured = neighbours._reach
+
+    def reach(*given):
+        reaches.append(measured(*given))
+        return reaches[-1]
+
+    monkeypatch.setattr(neighbours, "_reach", reach)
+    got = lists(neighbours.search(frame(spark, list(enumerate(x.tolist()))), "vec_id % 500 = 0"))
+    scores = x[::500].astype(float) @ x.astype(float).T
+    scores[np.arange(100), np.arange(0, n, 500)] = -np.inf
+    truth = {500 * q: set(np.argsort(-s)[:20].tolist()) for q, s in enumerate(scores)}
+    hits = sum(len(truth[q] & {i for i, _ in got[q]}) for q in truth)
+    assert set(got) == set(truth) and hits >= 0.9 * 20 * len(truth), hits
+    block = int(np.clip(1 << int(reaches[0]).bit_length(), neighbours.LEAST_BLOCK, neighbours.BLOCK))
+    # A window touches the blocks it reaches into: itself and less than a block to either side.
+    assert neighbours.CURVES * (2 * reaches[0] + 2 * block) < 0.5 * n, reaches
+
+
+def test_reach_is_that_of_the_true_neighbours(spark):
+    """On a line all curves keep the order: the reach is the place of the neighbour asked for."""
+    rows = [(i, [1.0, i / 100]) for i in range(200)]
+    entries = spark.createDataFrame([(i, v, i % 50 == 49) for i, v in rows], "entry bigint, vector array<double>, asks boolean")
+    placed = spark.createDataFrame(
+        [(c, i, role, i) for c in (0, 1) for i in range(200) for role in (0, 1)], "curve int, entry bigint, role int, place bigint")
+    # The largest inner products are with the greatest numbers: 49, 99, 149 and 199 ask for
+    # 199, 198 and 197 (199 for 196), and are 148 to 150, 98 to 100, 48 to 50 and 1 to 3 away.
+    assert neighbours._reach(entries, placed, 3, 1.0, 10) == 150
+    assert neighbours._reach(entries, placed, 3, 0.5, 10) == 50
+    assert neighbours._reach(entries, placed, 3, 0.25, 10) == 3
