@@ -6,7 +6,8 @@ some stretch of the document is within k = ``RATE`` x m edits of it. By the q-gr
 such a stretch shares at least m + 1 - q(k + 1) of the piece's character q-grams, and its
 alignment stays within k diagonals. So shared q-grams are counted in bands of diagonals
 that overlap by k, bands that reach the bound are aligned, and nothing within the budget
-is lost. Text is compared with ASCII letters in lower case and white space runs as one space.
+is lost. Items under ``LEAST`` characters are no evidence if edited: they are found where
+they stand exactly, those under ``Q`` by their whole text. Text is compared with ASCII letters in lower case and white space runs as one space.
 
 Documents stay where they are: the index of a block of benchmark items, of bounded size,
 goes to the tasks, and a larger benchmark takes more blocks.
@@ -29,7 +30,7 @@ from dosewise.llm.terms import bucket
 Q = 8
 PIECE = 100
 RATE = 0.08
-LEAST = 32  # items with fewer characters are no evidence and are not searched
+LEAST = 32  # items with fewer characters have no edits
 BLOCK_BYTES = 8 << 20  # of benchmark text in one index
 TABLE_BITS = 20
 SLICE_BYTES = 1 << 19
@@ -95,6 +96,7 @@ class Index:
     positions: np.ndarray
     table: np.ndarray
     q: int
+    tiny: list[tuple[int, np.ndarray]]  # items shorter than q: place in item_ids, characters
 
 
 def pieces_of(length: int, piece: int) -> list[tuple[int, int]]:
@@ -106,14 +108,16 @@ def pieces_of(length: int, piece: int) -> list[tuple[int, int]]:
 
 
 def build_index(items: list[tuple[int | None, str]], q: int = Q, piece: int = PIECE, rate: float = RATE) -> Index:
-    ids, chars, grams = [], [], []
+    ids, chars, grams, tiny = [], [], [], []
     for item_id, text in items:
         (part,) = text_slices(pa.array([text], pa.string()))
         whole = fold(part).chars
         # Blank margins are no part of a passage.
         solid = np.flatnonzero(whole != 32)
         whole = whole[solid[0] : solid[-1] + 1] if len(solid) else whole[:0]
-        if len(whole) < LEAST:
+        if len(whole) < q:
+            if len(whole):
+                tiny.append((item_id, whole))
             continue
         for a, b in pieces_of(len(whole), piece):
             own = Folded(whole[a:b], np.arange(b - a), np.array([0]), np.array([b - a]))
@@ -123,7 +127,7 @@ def build_index(items: list[tuple[int | None, str]], q: int = Q, piece: int = PI
             grams.append(codes[inside])
     sizes = np.array([len(c) for c in chars], np.int64)
     # Short pieces get the largest budget that still leaves one q-gram to share.
-    budgets = np.minimum((rate * sizes).astype(np.int64), np.maximum((sizes - q) // q, 0))
+    budgets = np.where(sizes < LEAST, 0, np.minimum((rate * sizes).astype(np.int64), np.maximum((sizes - q) // q, 0)))
     counts = np.array([len(g) for g in grams], np.int64)
     code = np.concatenate(grams) if grams else np.zeros(0, np.uint64)
     owner = np.repeat(np.arange(len(grams)), counts)
@@ -132,11 +136,11 @@ def build_index(items: list[tuple[int | None, str]], q: int = Q, piece: int = PI
     codes, firsts = np.unique(code[order], return_index=True)
     table = np.zeros(1 << TABLE_BITS, bool)
     table[bucket(codes, TABLE_BITS)] = True
-    item_ids = list(dict.fromkeys(ids))
+    item_ids = list(dict.fromkeys([*ids, *(item_id for item_id, _ in tiny)]))
     place = {item_id: n for n, item_id in enumerate(item_ids)}
     return Index(
         item_ids, np.array([place[i] for i in ids], np.int64), chars, budgets, sizes + 1 - q * (budgets + 1), codes, np.append(firsts, len(code)),
-        owner[order], position[order], table, q,
+        owner[order], position[order], table, q, [(place[item_id], whole) for item_id, whole in tiny],
     )
 
 
@@ -209,12 +213,26 @@ def candidates(folded: Folded, index: Index) -> tuple[np.ndarray, np.ndarray, np
     return keys[0, enough], keys[1, enough], keys[2, enough]
 
 
+def _exact(folded: Folded, index: Index) -> list[tuple[int, int, int, int, int]]:
+    """``(text, item, start, end, 0)`` wherever an item shorter than a q-gram stands."""
+    found = []
+    for size in sorted({len(chars) for _, chars in index.tiny}):
+        codes, inside = gram_codes(folded, size)
+        own = [(item, chars) for item, chars in index.tiny if len(chars) == size]
+        one = np.arange(size)
+        wanted = [gram_codes(Folded(chars, one, np.array([0]), np.array([size])), size)[0][0] for _, chars in own]
+        for at in np.flatnonzero(inside & np.isin(codes, np.array(wanted, np.uint64))).tolist():
+            text = int(np.searchsorted(folded.ends, at, "right"))
+            found += [(text, item, at, at + size, 0) for item, chars in own if (folded.chars[at : at + size] == chars).all()]
+    return found
+
+
 def regions(part: Slice, index: Index, at_once: int = 4096) -> list[tuple[int, int, int, int, int]]:
     """``(text, item, start, end, edits)`` of a slice: stretches (in the text's own code
     points) that hold pieces of an item, joined where they overlap; edits of the worst piece."""
     folded = fold(part)
     text, piece, band = candidates(folded, index)
-    found = []
+    found = _exact(folded, index)
     for low in range(0, len(text), at_once):
         t, p, b = text[low : low + at_once], piece[low : low + at_once], band[low : low + at_once]
         k = index.budgets[p]
@@ -313,8 +331,8 @@ def _indexes(benchmark: DataFrame, block_bytes: int) -> Iterator[Index]:
 def leaks(docs: DataFrame, benchmark: DataFrame, block_bytes: int = BLOCK_BYTES) -> DataFrame:
     """``doc_id, text_h, item_id, start, end, edits``: benchmark passages found in documents.
 
-    One row per document, item and region; offsets in code points, end exclusive. Null and
-    empty texts and items have no passage, items under ``LEAST`` characters are not searched.
+    One row per document, item and region; offsets in code points, end exclusive. Null, empty
+    and blank texts and items have no passage; items under ``LEAST`` characters are found exactly.
     Items with a null id come back with a null id, unless an item with an id has their text.
     Repeated documents come back each with its rows; repeated items count once.
     """

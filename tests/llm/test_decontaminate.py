@@ -30,10 +30,10 @@ def brute(docs, items):
     found = set()
     for item, passage in items.items():
         whole = folded(passage or "").strip(" ")
-        if len(whole) < d.LEAST:
+        if not whole:
             continue
         for a, b in d.pieces_of(len(whole), d.PIECE):
-            budget = min(int(d.RATE * (b - a)), max((b - a - d.Q) // d.Q, 0))
+            budget = min(int(d.RATE * (b - a)), max((b - a - d.Q) // d.Q, 0)) if b - a >= d.LEAST else 0
             found |= {(i, item) for i, t in docs.items() if t and least_edits(whole[a:b], folded(t)) <= budget}
     return found
 
@@ -123,3 +123,23 @@ def test_items_without_an_id_are_searched(spark):
     for block in (1 << 20, 60):
         assert {r.doc_id for r in d.without_leaks(table, bench, block).collect()} == {4}
         assert {(r.doc_id, r.item_id) for r in d.leaks(table, bench, block).collect()} == {(1, None), (2, 5), (3, None)}
+
+
+def test_short_items_are_found_exactly(spark):
+    items = {1: "twelve chars", 2: "日本", 3: "  Seven7\n", 4: "a", 5: " ", 6: "exactly 31 characters long, it!", None: "é?"}
+    docs = {1: "here are TWELVE\tchars and more", 2: "twelve char s", 3: "x日本y", 4: "本日", 5: "seven7seven7", 6: "ends with é?",
+            7: "exactly 31 characters long, it!", 8: "exactly 31 characters l0ng, it!", 9: "Ω", 10: "", 11: None}
+    table = spark.createDataFrame(list(docs.items()), "doc_id bigint, text string")
+    bench = spark.createDataFrame(list(items.items()), "item_id bigint, text string")
+    found = [(r.doc_id, r.item_id, r.start, r.end, r.edits) for r in d.leaks(table, bench).collect()]
+    expected = set()
+    for i, text in docs.items():
+        for item, passage in items.items():
+            whole = folded(passage).strip(" ")
+            if whole and whole in folded(text or ""):
+                expected.add((i, item))
+    assert {f[:2] for f in found} == expected and (8, 6) not in expected and (7, 6) in expected and (9, 2) not in expected
+    assert [f[2:] for f in found if f[:2] == (1, 1)] == [(9, 21, 0)]
+    assert [f[2:] for f in found if f[:2] == (5, 3)] == [(0, 12, 0)]  # two that touch are one region
+    kept = {r.doc_id for r in d.without_leaks(table, bench).collect()}
+    assert kept == set(docs) - {i for i, _ in expected}
