@@ -63,20 +63,20 @@ URL_RULES = [
 ]
 LABELLED_URLS = [
     *[(url, 1) for url in (
-        "http://casino-win.example.com/en/12", "https://www.casino-royal.example.net/play", "http://bestcasino.example.org/fr/8",
-        "https://free-bets.example.com/en/55", "http://m.sport-bets.example.net/de/31", "https://bets-online.example.org/es/7/",
-        "http://cheap-pills.example.com/de/66", "https://www.pills-shop.example.net/en/4.html", "http://blog.diet-pills.example.org/fr/2",
-        "http://spam-farm.example.com/en/91", "https://link-farm.example.net/es/17", "http://m.spam-mail.example.org/de/5",
-        "http://ads-track.example.com/en/3", "https://www.ads-server.example.net/fr/20/", "http://track-click.example.org/en/44",
-        "http://adult-x.example.com/en/6", "https://m.adult-chat.example.net/es/11", "http://blog.x-adult.example.org/fr/73",
+        "http://grand-casino.example.com/en/12", "https://www.casino-royal.example.net/play", "http://big-win.example.org/fr/8",
+        "https://freebet-club.example.com/en/55", "http://m.sport-bets.example.net/de/31", "https://bets-online.example.org/es/7/",
+        "http://cheap-meds.example.com/de/66", "https://www.pills-shop.example.net/en/4.html", "http://blog.diet-pills.example.org/fr/2",
+        "http://spam-hub.example.com/en/91", "https://link-farm.example.net/es/17", "http://m.spam-mail.example.org/de/5",
+        "http://ads-click.example.com/en/3", "https://www.ads-server.example.net/fr/20/", "http://track-click.example.org/en/44",
+        "http://adult-zone.example.com/en/6", "https://m.adult-chat.example.net/es/11", "http://blog.x-adult.example.org/fr/73",
     )],
     *[(url, 0) for url in (
         "http://news.example.com/en/12", "https://www.city-library.example.net/en/55", "http://blog.travel.example.org/fr/8",
         "https://recipes.example.com/en/66", "http://m.weather.example.net/de/31", "https://the-museum.example.org/es/7/",
         "http://science.example.com/de/4", "https://www.school.example.net/en/91.html", "http://blog.garden.example.org/fr/2",
-        "http://thother.example.com/en/17", "https://therand.example.net/es/3", "http://m.thtion.example.org/de/5",
-        "http://tionher.example.com/en/20", "https://www.nation.example.net/fr/44/", "http://history.example.org/en/6",
-        "http://music-room.example.com/en/11", "https://m.books.example.net/es/73", "http://blog.thenth.example.org/fr/1",
+        "http://theatre.example.com/en/17", "https://thunder.example.net/es/3", "http://m.earth-month.example.org/de/5",
+        "http://nations.example.com/en/20", "https://www.thrift.example.net/fr/44/", "http://history.example.org/en/6",
+        "http://music-room.example.com/en/11", "https://m.books.example.net/es/73", "http://blog.north-path.example.org/fr/1",
     )],
 ]
 
