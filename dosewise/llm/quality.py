@@ -22,6 +22,7 @@ from dosewise.llm.terms import SHAPES, grams, shape
 GRAM = 4
 BITS = 15
 PER_GRADE = 1000  # labelled rows taken for each grade: the bound of the training sample
+PER_TEXT = 8192  # different grams taken from one text of the sample: the bound of its bytes
 MOST_GRADES = 20
 SHARES = 16
 SCALE = 30.0  # of gram shares
@@ -52,7 +53,8 @@ class Model:
 
 
 def _features(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Grade, and sparse gram counts and form shares as packed arrays."""
+    """Grade, and sparse gram counts and form shares as packed arrays; of a text with more
+    than ``PER_TEXT`` different grams those of least hash."""
     for batch in batches:
         rows = []
         for part in text_slices(batch.column("text")):
@@ -61,6 +63,8 @@ def _features(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for i in range(len(part)):
                 own = slice(part.starts[i], part.ends[i])
                 index, count = np.unique(bins[own][inside[own]], return_counts=True)
+                # Bins are hashes: the least ones are an even choice.
+                index, count = index[:PER_TEXT], count[:PER_TEXT]
                 share = (SCALE * count / max(count.sum(), 1)).astype("<f4")
                 rows.append((index.astype("<i4").tobytes(), share.tobytes(), forms[i].tobytes()))
         columns = list(zip(*rows)) or [(), (), ()]

@@ -27,6 +27,7 @@ TERMS = 2048  # chosen for the model
 LEAST_DOCS = 5
 FACTORS = 8
 SHARES, PER_SHARE = 16, 250  # at most their product of labelled rows of each label
+PER_TEXT = 8192  # different terms taken from one text of the sample: the bound of its bytes
 ROUNDS = 200
 RIDGE = 1e-4
 START = 0.05  # spread of the first factors
@@ -67,7 +68,8 @@ def _sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             pairs = np.unique((owner << BITS) + bins)
             edges = np.searchsorted(pairs >> BITS, np.arange(len(part) + 1))
             own = (pairs & ((1 << BITS) - 1)).astype("<i4")
-            rows += [own[a:b].tobytes() for a, b in zip(edges, edges[1:])]
+            # Bins are hashes, in order: the first ones are an even choice.
+            rows += [own[a : min(b, a + PER_TEXT)].tobytes() for a, b in zip(edges, edges[1:])]
         yield pa.RecordBatch.from_arrays([batch.column("label"), pa.array(rows, pa.binary())], ["label", "bins"])
 
 

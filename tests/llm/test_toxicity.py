@@ -107,3 +107,57 @@ def test_edges(spark):
     assert [r.score for r in tox.score(odd, tox.train(docs, labels.limit(0))).collect()] == [0.5] * 4
     assert all(r.score > 0.99 for r in tox.score(odd, tox.train(docs, labels.where("toxic = 1"))).collect())
     assert tox.fit([SimpleNamespace(label=0, bins=b"")], {0: 1}).bias < -50
+
+
+def test_fit_against_numeric_gradients(monkeypatch):
+    """Three steps, with the likelihood written out document by document."""
+    monkeypatch.setattr(tox, "LEAST_DOCS", 1)
+    rng = np.random.default_rng(3)
+    rows = []
+    for i in range(16):
+        bins = np.unique(rng.integers(0, 6, rng.integers(1, 6)))
+        label = int(0 in bins and 1 in bins) if i != 7 else 1
+        rows.append(SimpleNamespace(label=label, bins=bins.astype("<i4").tobytes()))
+    sizes = {0: 40, 1: 9}
+    rounds, ridge, factors = 3, tox.RIDGE, 2
+    model = tox.fit(rows, sizes, rounds, ridge, factors)
+    ordered = sorted(rows, key=lambda r: (r.label, bytes(r.bins)))
+    docs = [(r.label, [int(model.slots[b]) for b in np.frombuffer(r.bins, "<i4") if model.slots[b] >= 0]) for r in ordered]
+    sampled = [sum(y == k for y, _ in docs) for k in (0, 1)]
+    weight = np.array([sizes[y] / sampled[y] for y, _ in docs])
+    weight /= weight.sum()
+    n = tox.TERMS
+
+    def gain(x):
+        w, v = x[1 : n + 1], x[n + 1 :].reshape(n, factors)
+        total = 0.0
+        for share, (y, own) in zip(weight, docs):
+            eta = x[0] + sum(w[t] for t in own) + sum(float(v[a] @ v[b]) for a, b in combinations(own, 2))
+            total += share * (y * eta - np.log1p(np.exp(eta)))
+        return total - ridge / 2 * ((w**2).sum() + (v**2).sum())
+
+    prior = sum(share * y for share, (y, _) in zip(weight, docs))
+    x = np.concatenate([[np.log(prior / (1 - prior))], np.zeros(n), np.random.default_rng(0).normal(0, tox.START, n * factors)])
+    used = sorted({t for _, own in docs for t in own})
+    moving = [0, *(1 + t for t in used), *(n + 1 + factors * t + f for t in used for f in range(factors))]
+    first, second = np.zeros_like(x), np.zeros_like(x)
+    for step in range(1, rounds + 1):
+        gradient = np.zeros_like(x)
+        for i in moving:
+            up, down = x.copy(), x.copy()
+            up[i], down[i] = x[i] + 1e-5, x[i] - 1e-5
+            gradient[i] = (gain(up) - gain(down)) / 2e-5
+        first, second = 0.9 * first + 0.1 * gradient, 0.999 * second + 0.001 * gradient**2
+        x = x + 0.05 * (first / (1 - 0.9**step)) / (np.sqrt(second / (1 - 0.999**step)) + 1e-8)
+    assert model.bias == pytest.approx(x[0], abs=1e-4)
+    assert np.allclose(model.weights[used], x[1 : n + 1][used], atol=1e-3)
+    assert np.allclose(model.factors[used], x[n + 1 :].reshape(n, factors)[used], atol=1e-3)
+
+
+def test_sample_of_very_long_texts_is_bounded_in_bytes(spark):
+    rng = random.Random(4)
+    long = " ".join("".join(rng.choices("abcdefghijklmnop", k=9)) for _ in range(30_000))
+    docs = spark.createDataFrame([(i, long if i % 2 else "a few words") for i in range(1, 9)], "doc_id bigint, text string")
+    labels = spark.createDataFrame([(i, i % 2) for i in range(1, 9)], "doc_id bigint, toxic int")
+    rows, _ = tox.training_sample(docs, labels, "toxic")
+    assert {len(r.bins) for r in rows if r.label == 1} == {4 * tox.PER_TEXT}
