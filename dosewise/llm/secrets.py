@@ -25,7 +25,7 @@ KINDS = [*BASE_KINDS, "markov"]
 
 # Long tokens with a letter and a digit: the only ones the models judge.
 TOKEN_CHARS = r"A-Za-z0-9+/_=-"
-TOKEN = rf"(?<![{TOKEN_CHARS}])(?=[{TOKEN_CHARS}]*?[0-9])(?=[{TOKEN_CHARS}]*?[A-Za-z])[{TOKEN_CHARS}]{{20,}}"
+LEAST_TOKEN = 12  # characters; of shorter ones too many are words
 FIRST_CODE, CODES = 43, 80  # "+" to "z"
 THRESHOLD = 0.5
 BACK_OFF = 5.0  # weight of a character's own frequency against the steps seen
@@ -34,6 +34,11 @@ DIGESTS = 400  # random strings that every sample holds
 DOC = ["doc_id", "text_h"]
 
 
+def token_pattern(least: int) -> str:
+    """Tokens of ``least`` characters or more, of which one is a letter and one a digit."""
+    return rf"(?<![{TOKEN_CHARS}])(?=[{TOKEN_CHARS}]*?[0-9])(?=[{TOKEN_CHARS}]*?[A-Za-z])[{TOKEN_CHARS}]{{{least},}}"
+
+
 def _codes(token: Column) -> Column:
     plain = F.filter(F.split(token, ""), lambda c: c != "")
     return F.transform(plain, lambda c: (F.ascii(c) - FIRST_CODE).cast("int"))
@@ -120,11 +125,12 @@ def _found(text: Column, kind: int, pattern: str, value: Column) -> Column:
     ))
 
 
-def spans(docs: DataFrame, table: list[float], threshold: float = THRESHOLD) -> DataFrame:
+def spans(docs: DataFrame, table: list[float], threshold: float = THRESHOLD, least_token: int = LEAST_TOKEN) -> DataFrame:
     """``doc_id, text_h, kind, start, end, value``: every span once per document, ``kind`` as
     its number in ``KINDS``, offsets in code points, end exclusive.
 
-    A random token is a span unless it overlaps one of a fixed pattern.
+    A random token of ``least_token`` characters or more is a span unless it overlaps one of a
+    fixed pattern.
     """
     text = F.coalesce("text", F.lit(""))
     nothing = F.array().cast("array<string>")
@@ -132,7 +138,7 @@ def spans(docs: DataFrame, table: list[float], threshold: float = THRESHOLD) ->
         _found(text, 0, ASSIGN, F.regexp_extract_all(text, F.lit(ASSIGN), F.lit(2))),
         _found(text, 1, ACCESS, nothing),
         _found(text, 2, HEX, nothing),
-        _found(text, 3, TOKEN, nothing),
+        _found(text, 3, token_pattern(least_token), nothing),
     )
     each = docs.select("doc_id", F.xxhash64("text").alias("text_h"), F.explode(found).alias("f")).where("f is not null")
     each = each.select(*DOC, "f.kind", F.posexplode(F.arrays_zip("f.gaps", "f.matches", "f.values")).alias("n", "m"))
@@ -153,7 +159,7 @@ def spans(docs: DataFrame, table: list[float], threshold: float = THRESHOLD) ->
     return checked.where(base | free).select(*DOC, "kind", "start", "end", F.col("matches").alias("value"))
 
 
-def scan(docs: DataFrame, table: list[float], threshold: float = THRESHOLD) -> DataFrame:
+def scan(docs: DataFrame, table: list[float], threshold: float = THRESHOLD, least_token: int = LEAST_TOKEN) -> DataFrame:
     """``doc_id, text_h, n_assign, n_access, n_hex, n_markov, base, spans``, a row per row of
     ``docs``; the last two are the spans as ``kind:start:end``, by start and kind, with commas.
 
@@ -161,7 +167,7 @@ def scan(docs: DataFrame, table: list[float], threshold: float = THRESHOLD) -> D
     """
     name = F.element_at(F.array(*[F.lit(k) for k in KINDS]), F.col("kind") + 1)
     written = F.concat_ws(":", name, "start", "end")
-    listed = spans(docs, table, threshold).groupBy(*DOC).agg(
+    listed = spans(docs, table, threshold, least_token).groupBy(*DOC).agg(
         *[F.count_if(F.col("kind") == i).alias(f"n_{k}") for i, k in enumerate(KINDS)],
         F.sort_array(F.collect_list(F.struct("start", "kind", written.alias("s")))).alias("all"),
     ).withColumnsRenamed({"doc_id": "its_id", "text_h": "its_h"})

@@ -114,3 +114,22 @@ def test_query_digest_and_plan(spark, tmp_path):
     assert not any(word in plan for word in ("Python", "Arrow", "Pandas", "ExistingRDD"))
     for r in found.collect():
         assert r.base_sha256 == hashlib.sha256(written(base(TEXTS[r.doc_id] or "")).encode()).hexdigest()
+
+
+def test_short_random_tokens_by_parameter(spark):
+    """Of random strings and identifiers that no sample holds, by the least length judged."""
+    import base64
+    import hashlib
+
+    digest = [hashlib.sha256(f"short {i}".encode()).digest() for i in range(60)]
+    random_ = [(base64.b64encode(d).decode().replace("=", "")[:n] + "7", n) for d in digest for n in (12, 16, 24)]
+    names = ["house_number_12", "version_2_final", "chapter_10_part_3", "rain_falls_over_5", "quiet_river_stone_8"]
+    docs = spark.createDataFrame(
+        [(i, f"see {t} there") for i, (t, _) in enumerate(random_)] + [(1000 + i, f"see {t} there") for i, t in enumerate(names)],
+        "doc_id bigint, text string")
+    prose = spark.createDataFrame([(i, "the house by the quiet river and the rain that falls over every chapter of stone " * 3) for i in range(50)], "doc_id bigint, text string")
+    table = secrets.train(secrets.labelled_samples(prose))
+    for least in (12, 20):
+        found = {r.doc_id for r in secrets.spans(docs, table, least_token=least).where("kind = 3").collect()}
+        due = {i for i, (t, _) in enumerate(random_) if len(t) >= least and any(c.isalpha() for c in t)}
+        assert len(found & due) >= 0.95 * len(due) and found <= due, (least, len(found & due), len(due), found - due)
