@@ -134,21 +134,18 @@ def _bucket(n: int) -> Column:
 
 
 def _finish(folder: Folder) -> int:
-    """Move what committed appends have left staged; the number of the last record."""
-    versions = [int(n) for n in folder.names(COMMITS) if n.isdigit()]
-    open_ = set(folder.names(STAGED))
-    for version in sorted(versions, reverse=True) if open_ else []:
-        record = json.loads(folder.text(COMMITS, str(version)))
+    """Move what the last committed append has left staged; its number. Appends before it are
+    finished: this one looked after them before it made its record."""
+    last = max((int(n) for n in folder.names(COMMITS) if n.isdigit()), default=0)
+    if last and folder.names(STAGED):
+        record = json.loads(folder.text(COMMITS, str(last)))
         staged = record["staged"]
-        if staged in open_:
+        if folder.fs.exists(folder._path(STAGED, staged)):
             for source, target in record["moves"]:
                 if folder.fs.exists(folder._path(STAGED, staged, source)):
                     folder.move(posixpath.join(STAGED, staged, source), target)
             folder.delete(STAGED, staged)
-            open_.discard(staged)
-        if not open_:
-            break
-    return max(versions, default=0)
+    return last
 
 
 def recover(spark: SparkSession, path: str) -> int:
