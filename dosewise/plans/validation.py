@@ -88,7 +88,7 @@ def _said(df: DataFrame, rules: list[Rule]) -> DataFrame:
     bits = F.struct(
         F.lit(single).alias("place"), broken.alias("one"), F.lit(0).cast("bigint").alias("other"), F.lit(0).alias("slot"), F.lit(0).alias("check"))
     found.append(F.when(broken != 0, bits))
-    return df.select(F.explode(F.array_compact(F.array(*found))).alias("said")).select("said.*")
+    return df.select(F.explode(F.array(*found)).alias("said")).where("said is not null").select("said.*")
 
 
 def _together(parts: list[DataFrame]) -> DataFrame:
