@@ -73,3 +73,50 @@ def latest_prior(
             *[F.col(f"_last.{c}").alias(c) for c in carry],
         )
     )
+
+
+def facts_in_force(
+    spans: DataFrame,
+    facts: DataFrame,
+    keys: Sequence[str],
+    start: str,
+    end: str,
+    fact_date: str,
+    until: str,
+) -> DataFrame:
+    """For each span of days, the facts of its key that are the last one before some day in
+    it: the last dated before ``start``, and those dated from then to before ``end``. A fact
+    is in force on the days after ``fact_date`` up to ``until``, the date of the next (NULL:
+    there is none); of several with one date, only one is on any day.
+
+    Spans of a key do not overlap, but may share a day; columns other than their dates and
+    keys tell them apart and come back, in their order on equal starts. One window in date
+    order over both, as for ``latest_prior``; a span sorts before a fact of the same date.
+    """
+    own = [c for c in spans.columns if c not in (*keys, start)]
+    carry = [c for c in facts.columns if c not in keys]
+    span = F.struct(*sorted(own, key=end.__eq__)).alias("_span")
+    fact = F.struct(*carry).alias("_fact")
+
+    def missing(df: DataFrame, column: Column, name: str) -> Column:
+        return F.lit(None).cast(df.select(column).schema[name].dataType).alias(name)
+
+    left = spans.select(*keys, F.col(start).alias("_at"), F.lit(0).alias("_kind"), span, missing(facts, fact, "_fact"))
+    right = facts.select(*keys, F.col(fact_date).alias("_at"), F.lit(1).alias("_kind"), missing(spans, span, "_span"), fact)
+    order = Window.partitionBy(*keys).orderBy("_at", "_kind", "_span")
+    seen = order.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    by = ", ".join(f"`{k}`" for k in keys)
+    following = F.expr(f"lead(if(_kind = 1, _at, null)) ignore nulls over (partition by {by} order by _at, _kind, _span)")
+    return (
+        left.unionByName(right)
+        .select(
+            *keys,
+            "_at",
+            "_kind",
+            F.last("_fact", ignorenulls=True).over(seen).alias("_fact"),
+            F.last("_span", ignorenulls=True).over(seen).alias("_span"),
+            following.alias(until),
+        )
+        .where(F.col("_fact").isNotNull() & F.when(F.col("_kind") == 1, F.col("_at") < F.col(f"_span.{end}")).otherwise(True))
+        .select(*keys, *[F.col(f"_span.{c}").alias(c) for c in own if c != end], *[F.col(f"_fact.{c}").alias(c) for c in carry], until)
+    )

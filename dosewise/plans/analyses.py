@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from dosewise.functions.dates import ALL_BANDS, age_band, age_years, weekday_name
 from dosewise.functions.rates import NEVER_REPORTED, frequency_label, percent
-from dosewise.operators.latest import latest_prior
+from dosewise.operators.latest import facts_in_force
 from dosewise.operators.ranking import running_total, share_of_group, top_k_per_group
 from dosewise.operators.reshape import first_n_wide, transpose
 from dosewise.plans.facts import dose_products, event_products
@@ -105,33 +105,45 @@ def coverage_by_age(
     return transpose(cells, "age_group", [f"{n}-vacc" for n in range(3)], "vacc_status", ALL_BANDS)
 
 
+# Days whose reports are compared with the same doses, about eleven years.
+SPAN_DAYS = 4096
+
+
 def attribute_symptoms(t: Tables, ordered: bool = True) -> DataFrame:
     """Each reported symptom with the patient's last dose before that day, per hospital
     the patient had a dose at: ``patient, hospital, symptom, symptom_date, vacc_date,
     vaccine_type``.
 
-    The join only brings in hospitals with an earlier dose, so it makes no more rows
-    than the result has; the dose itself is found by one ordered pass per patient and
-    hospital. Reports are distinct by then, which bounds such a pair by symptoms x days.
-    The pass shuffles by patient and hospital: the join by patient before it can then be
-    split for a patient with very many reports. Copies of a dose change nothing and go first.
+    Reports are cut by date into spans of ``SPAN_DAYS``. An ordered pass per patient and
+    hospital, over spans and doses instead of reports, says between which days a dose is the
+    last one; then a join by patient and span makes the result and no more rows. Reports
+    and doses are distinct by then: what is compared beyond the result are a patient's
+    reports and doses within one span, bounded by the calendar. The pass shuffles by patient
+    and hospital, and the join can be split for a patient with very many reports. If the
+    result is ordered, the join sorts too: rows of a patient then leave together, which
+    spares more in their shuffle and order than joining by hash does. If not, the rows
+    of a patient at many hospitals are dealt by hospital.
     """
     given = t["vaccine_patient"].distinct()
-    doses = dose_products(t.replaced(vaccine_patient=given))
-    doses = doses.withColumnRenamed("date", "vacc_date")
+    doses = dose_products(t.replaced(vaccine_patient=given)).withColumnRenamed("date", "vacc_date")
     first = t["vaccine_patient"].groupBy("patient", "hospital").agg(F.min("date").alias("first_date"))
-    reports = (
-        t["diagnosis"].select("patient", "symptom", F.col("date").alias("symptom_date")).distinct()
-    )
-    probes = (
-        reports.join(first, "patient")
-        .where(F.col("first_date") < F.col("symptom_date"))
-        .drop("first_date")
+    reports = t["diagnosis"].select("patient", "symptom", F.col("date").alias("symptom_date")).distinct()
+    reports = reports.withColumn("span", F.floor(F.unix_date("symptom_date") / SPAN_DAYS))
+    spans = reports.groupBy("patient", "span").agg(F.min("symptom_date").alias("start"), F.max("symptom_date").alias("end"))
+    spans = spans.join(first, "patient").where(F.col("first_date") < F.col("end")).drop("first_date")
+    last_between = facts_in_force(spans, doses, ["patient", "hospital"], "start", "end", "vacc_date", "until")
+    if ordered:
+        last_between = last_between.hint("merge")
+    after = F.col("vacc_date") < F.col("symptom_date")
+    before = F.col("until").isNull() | (F.col("symptom_date") <= F.col("until"))
+    found = (
+        reports.join(last_between, ["patient", "span"])
+        .where(after & before)
+        .select("patient", "hospital", "symptom", "symptom_date", "vacc_date", "vaccine_type")
     )
-    found = latest_prior(
-        probes, doses, ["patient", "hospital"], "symptom_date", "vacc_date", ["vaccine_type"]
-    ).select("patient", "hospital", "symptom", "symptom_date", "vacc_date", "vaccine_type")
-    return found.orderBy("patient", "symptom_date", "symptom", "hospital") if ordered else found
+    if ordered:
+        return found.orderBy("patient", "symptom_date", "symptom", "hospital")
+    return found.repartition("patient", "hospital")
 
 
 def symptom_labels(t: Tables, types: Sequence[str] | None = None) -> DataFrame:

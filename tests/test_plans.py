@@ -89,6 +89,14 @@ def test_attribution_does_not_keep_the_layout_by_patient(stored):
     assert any(re.search(r"Exchange hashpartitioning\(patient#\d+, hospital#\d+", s) for s in lines[window:union])
 
 
+def test_reports_stay_out_of_the_pass_by_hospital(stored):
+    """The pass orders doses and spans of reports; a report would go through it once a hospital."""
+    lines = planned(analyses.attribute_symptoms(stored, ordered=False)).splitlines()
+    window = line_of("\n".join(lines), r"Window \[last\(")
+    union = line_of("\n".join(lines), r"\bUnion\b")
+    assert not any("symptom#" in s for s in lines[window : union + 2])
+
+
 def test_validation_reads_every_table_once_and_shuffles_once(stored):
     plan = planned(validation.validate(stored))
     for name in CONTRACTS:

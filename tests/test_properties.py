@@ -128,6 +128,30 @@ def random_world(seed):
     )
 
 
+@pytest.mark.parametrize("days", [1, 2, 5, 4096])
+def test_attribution_by_spans_equals_brute_force(tables, monkeypatch, days):
+    """Spans cut everywhere, also between doses of one patient and hospital."""
+    monkeypatch.setattr(analyses, "SPAN_DAYS", days)
+    r = random.Random(days)
+    visits = {("a" if r.random() < 0.7 else "b", day(r.randrange(30))): f"H{r.randrange(2)}" for _ in range(40)}
+    events = {(d, h): f"b{r.randrange(3)}" for (_, d), h in visits.items()}
+    reported = {(r.choice("abc"), r.choice(["fever", "rash", "ache"]), day(r.choice([3, 4, r.randrange(35)]))) for _ in range(150)}
+    t = tables(
+        batch=[(f"b{i}", 10, f"V0{i}", "M", day(0), day(9), "H0") for i in range(3)],
+        vaccination_event=[(*k, b) for k, b in events.items()],
+        vaccine_patient=[(*k, h) for k, h in visits.items()],
+        diagnosis=list(reported),
+    )
+    expected = []
+    for p, s, e in reported:
+        for h in ("H0", "H1"):
+            prior = [d for (q, d), hh in visits.items() if (q, hh) == (p, h) and d < e]
+            if prior:
+                expected.append((p, h, s, e, max(prior), "V0" + events[max(prior), h][1:]))
+    assert len(expected) > 40
+    assert rows(analyses.attribute_symptoms(t)) == sorted(expected)
+
+
 @pytest.mark.parametrize("seed", range(3))
 def test_reports_equal_brute_force(tables, seed):
     w = random_world(seed)
