@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 from functools import reduce
+from itertools import count
 from operator import and_
 
 from pyspark.sql import Column, DataFrame
@@ -15,19 +16,20 @@ from dosewise.sources.tables import Tables
 NOT_NULL, KEY, REFERENCE, CHECK = "not null", "primary key", "foreign key", "check"
 
 
-# Seeds of the two halves of a key's hash and of its check.
+# Seeds of the two halves of a key's hash, and bits of a further one beside the number of a place.
 HALVES = (11, 12)
+FURTHER = 24
 
 
 @dataclass(frozen=True)
 class Rule:
-    """``place`` is where a rule's rows meet, ``slot`` what stands for the rule there."""
+    """``place`` is where a rule's rows meet; ``bit`` stands for what a row breaks by itself."""
 
     contract: Contract
     name: str
     kind: str
     place: int
-    slot: int
+    bit: int = 0
     reference: Reference | None = None
 
 
@@ -39,37 +41,47 @@ def _own_order(ref: Reference) -> list[str]:
     return [paired[c] for c in CONTRACTS[ref.parent].key]
 
 
-def _rules(t: Tables) -> list[Rule]:
-    """Every rule whose tables are given.
+def _rules(t: Tables) -> tuple[list[Rule], dict[str, list[int]]]:
+    """Every rule whose tables are given, and the places where each table says its keys.
 
-    Keys of a table, and references to it, meet at the table's number: the key in slot 0.
-    What a row breaks by itself is a bit of one number, at a place of the table's own.
+    Keys of a table and the first reference to it meet at the table's number. Each further
+    reference has a place of its own, where the keys are said again: so a key is counted
+    twice at most, as a key and as a reference. What a row breaks by itself is a bit of
+    one number, at another place of its table.
     """
-    number = {name: i for i, name in enumerate(t)}
-    slots = dict.fromkeys(number, 0)
+    keyed = {name: [i] for i, name in enumerate(t)}
+    free = count(2 * len(keyed))
+    referred: set[str] = set()
     rules: list[Rule] = []
-    for name in t:
-        contract, place = CONTRACTS[name], len(number) + number[name]
+    for i, name in enumerate(t):
+        contract = CONTRACTS[name]
         single = [(c, NOT_NULL) for c in contract.columns] + [(c, CHECK) for c in contract.row_checks]
-        rules += [Rule(contract, rule, kind, place, bit) for bit, (rule, kind) in enumerate(single)]
-        rules.append(Rule(contract, ", ".join(contract.key), KEY, number[name], 0))
+        rules += [Rule(contract, rule, kind, len(keyed) + i, bit) for bit, (rule, kind) in enumerate(single)]
+        rules.append(Rule(contract, ", ".join(contract.key), KEY, i))
         for ref in contract.references:
             if ref.parent in t:
-                slots[ref.parent] += 1
-                rules.append(Rule(contract, ref.label, REFERENCE, number[ref.parent], slots[ref.parent], ref))
-    return rules
+                if ref.parent in referred:
+                    keyed[ref.parent].append(next(free))
+                referred.add(ref.parent)
+                rules.append(Rule(contract, ref.label, REFERENCE, keyed[ref.parent][-1], reference=ref))
+    return rules, keyed
 
 
-def _meeting(place: int, slot: int, cells: list[Column]) -> Column:
+def _halves(marked: list[Column]) -> list[Column]:
+    return [F.xxhash64(F.lit(seed), *marked) for seed in HALVES]
+
+
+def _meeting(place: int, is_key: bool, cells: list[Column]) -> Column:
     # A hash passes over missing cells, so which ones are missing is hashed too.
     marked = [x for c in cells for x in (c, c.isNull())]
-    one, other = (F.xxhash64(F.lit(seed), *marked) for seed in HALVES)
+    one, other = _halves(marked)
+    further = F.hash(*marked).bitwiseAND(F.lit((1 << FURTHER) - 1))
     return F.struct(
-        F.lit(place).alias("place"), one.alias("one"), other.alias("other"), F.lit(slot).alias("slot"), F.hash(*marked).alias("check"))
+        F.lit(place << FURTHER).bitwiseOR(further).alias("place"), one.alias("one"), other.alias("other"), F.lit(is_key).alias("is_key"))
 
 
-def _said(df: DataFrame, rules: list[Rule]) -> DataFrame:
-    """``place, one, other, slot, check``: the key of each row, the keys it refers to (one
+def _said(df: DataFrame, rules: list[Rule], keyed: list[int]) -> DataFrame:
+    """``place, one, other, is_key``: the key of each row, the keys it refers to (one
     with a missing cell says nothing), and, if it breaks something by itself, what."""
     found = []
     broken = F.lit(0).cast("bigint")
@@ -77,16 +89,18 @@ def _said(df: DataFrame, rules: list[Rule]) -> DataFrame:
         parent = rule.contract if rule.reference is None else CONTRACTS[rule.reference.parent]
         if rule.kind in (NOT_NULL, CHECK):
             wrong = F.col(rule.name).isNull() if rule.kind == NOT_NULL else ~F.expr(rule.name)
-            broken = broken + F.when(wrong, F.lit(1 << rule.slot).cast("bigint")).otherwise(F.lit(0).cast("bigint"))
+            broken = broken + F.when(wrong, F.lit(1 << rule.bit).cast("bigint")).otherwise(F.lit(0).cast("bigint"))
             single = rule.place
             continue
         own = list(rule.contract.key) if rule.kind == KEY else _own_order(rule.reference)
         # As the key's type, so that equal keys have equal hashes.
         cells = [F.col(c).cast(TYPES[parent.columns[k]]) for c, k in zip(own, parent.key)]
-        meeting = _meeting(rule.place, rule.slot, cells)
-        found.append(meeting if rule.kind == KEY else F.when(reduce(and_, [c.isNotNull() for c in cells]), meeting))
+        if rule.kind == KEY:
+            found += [_meeting(place, True, cells) for place in keyed]
+        else:
+            found.append(F.when(reduce(and_, [c.isNotNull() for c in cells]), _meeting(rule.place, False, cells)))
     bits = F.struct(
-        F.lit(single).alias("place"), broken.alias("one"), F.lit(0).cast("bigint").alias("other"), F.lit(0).alias("slot"), F.lit(0).alias("check"))
+        F.lit(single << FURTHER).alias("place"), broken.alias("one"), F.lit(0).cast("bigint").alias("other"), F.lit(True).alias("is_key"))
     found.append(F.when(broken != 0, bits))
     return df.select(F.explode(F.array(*found)).alias("said")).where("said is not null").select("said.*")
 
@@ -103,29 +117,31 @@ def validate(t: Tables) -> DataFrame:
     """``(table, constraint, kind, violations)`` for every declared rule, zeros included.
 
     One scan per table, one shuffle for all. Rows say their keys and references as hashes of
-    128 bits, which are counted by rule before they are shuffled: a key that half the rows
-    point to sends a row per task. Equal keys of one table then meet, and references
+    128 bits, which are counted before they are shuffled: a key that half the rows point to
+    sends a row per task. Most keys are of one row and take a place in a task's memory each, so
+    they carry two counts and nothing else. Equal keys of one table then meet, and references
     without a key there are orphans. What a row breaks by itself travels as one number, and
-    only if there is something. Two keys that share a hash would be told apart by a further
-    one; then the job fails. Rules whose tables are not given are left out.
+    only if there is something. ``FURTHER`` more bits, in the same cell as the place, tell
+    apart keys that share those. Rules whose tables are not given are left out.
     """
-    rules = _rules(t)
-    slots = max((r.slot for r in rules if r.kind in (KEY, REFERENCE)), default=0) + 1
-    bits = max(r.slot for r in rules) + 1
-    said = _together([_said(t[name], [r for r in rules if r.contract.table == name]) for name in t])
-    counts = [F.count_if(F.col("slot") == i).alias(f"n{i}") for i in range(slots)]
-    met = said.groupBy("place", "one", "other").agg(F.min("check").alias("low"), F.max("check").alias("high"), *counts)
-    collided = F.raise_error(F.lit("two keys have one hash"))
-    is_key = F.col("place") < len(t)
-    key_rule = F.when(F.col("low") != F.col("high"), collided.cast("bigint")).otherwise(F.greatest(F.col("n0") - 1, F.lit(0)))
-    orphans = [F.sum(F.when(is_key & (F.col("n0") == 0), F.col(f"n{i}"))).alias(f"k{i}") for i in range(1, slots)]
-    broken = [F.sum(F.when(~is_key & (F.col("one").bitwiseAND(F.lit(1 << b)) != 0), F.col("n0"))).alias(f"b{b}") for b in range(bits)]
-    totals = met.groupBy("place").agg(F.sum(F.when(is_key, key_rule)).alias("k0"), *orphans, *broken)
-    cells = [F.struct(F.lit(f"{c}{i}").alias("cell"), F.col(f"{c}{i}").alias("found")) for c, n in (("k", slots), ("b", bits)) for i in range(n)]
+    rules, keyed = _rules(t)
+    if max(r.place for r in rules) >> (31 - FURTHER):
+        raise ValueError("too many references for the bits of a place")
+    bits = max(r.bit for r in rules) + 1
+    said = _together([_said(t[name], [r for r in rules if r.contract.table == name], keyed[name]) for name in t])
+    met = said.groupBy("place", "one", "other").agg(
+        F.count_if(F.col("is_key")).alias("keys"), F.count_if(~F.col("is_key")).alias("refs"))
+    met = met.withColumn("place", F.shiftright("place", FURTHER))
+    is_single = F.col("place").between(len(t), 2 * len(t) - 1)
+    copies = F.sum(F.when(~is_single, F.greatest(F.col("keys") - 1, F.lit(0)))).alias(KEY)
+    orphans = F.sum(F.when(~is_single & (F.col("keys") == 0), F.col("refs"))).alias(REFERENCE)
+    broken = [F.sum(F.when(is_single & (F.col("one").bitwiseAND(F.lit(1 << b)) != 0), F.col("keys"))).alias(f"b{b}") for b in range(bits)]
+    totals = met.groupBy("place").agg(copies, orphans, *broken)
+    cells = [F.struct(F.lit(c).alias("cell"), F.col(c).alias("found")) for c in (KEY, REFERENCE, *[f"b{b}" for b in range(bits)])]
     totals = totals.select("place", F.inline(F.array(*cells)))
     named = F.array(*[
         F.struct(
-            F.lit(r.place).alias("place"), F.lit(f"{'k' if r.kind in (KEY, REFERENCE) else 'b'}{r.slot}").alias("cell"),
+            F.lit(r.place).alias("place"), F.lit(r.kind if r.kind in (KEY, REFERENCE) else f"b{r.bit}").alias("cell"),
             F.lit(r.contract.table).alias("table"), F.lit(r.name).alias("constraint"), F.lit(r.kind).alias("kind"))
         for r in rules
     ])

@@ -1,7 +1,11 @@
-from conftest import rows
+import re
+
+from conftest import planned, rows
+from pyspark.sql import functions as F
 
 from dosewise import CONTRACTS, Tables
 from dosewise.operators import quality
+from dosewise.plans import validation
 from dosewise.plans.validation import validate
 
 CLEAN = dict(
@@ -104,3 +108,19 @@ def test_some_tables_only(tables):
     t = tables(**CLEAN)
     report = validate(Tables({name: t[name] for name in ("staff", "patient", "diagnosis")}))
     assert {r.constraint for r in report.where("kind = 'foreign key'").collect()} == {"patient -> patient"}
+
+
+def test_keys_that_share_both_halves_are_told_apart(tables, monkeypatch):
+    monkeypatch.setattr(validation, "_halves", lambda marked: [F.lit(1).cast("bigint"), F.lit(2).cast("bigint")])
+    assert broken(tables(**CLEAN)) == []
+    found = broken(tables(**{**CLEAN, "patient": CLEAN["patient"] * 2, "diagnosis": [("p9", "fever", "2021-05-12")]}))
+    assert found == [("diagnosis", "patient -> patient", "foreign key", 1), ("patient", "ssn", "primary key", 1)]
+
+
+def test_a_key_carries_two_counts(tables):
+    """Every key has an entry in a task's memory, however many references its table has."""
+    lines = [s for s in planned(validate(tables(**CLEAN))).splitlines() if re.search(r"HashAggregate\(keys=\[place#\d+, one", s)]
+    assert lines
+    for line in lines:
+        functions = re.search(r"functions=\[(.*?)\](, output|\))", line)[1]
+        assert len(re.findall(r"\b(?:count|min|max|sum)\(", functions)) <= 2
